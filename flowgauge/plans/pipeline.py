@@ -68,7 +68,7 @@ def run_pipeline(
         if tables[suite.table] is not None:
             results = results.unionByName(run_suite(tables[suite.table], suite))
     stored = f"{database}.{RESULTS_TABLE}"
-    results.coalesce(1).write.mode("overwrite").saveAsTable(stored)
+    results.write.mode("overwrite").saveAsTable(stored)
     checks = spark.table(stored)
     summary = summarize(checks).first()
     if not summary["all_passed"]:

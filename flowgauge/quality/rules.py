@@ -270,6 +270,8 @@ def _result(rule: Rule, suite: str, table: str, fields: dict[str, Column]) -> Co
         "check_type": F.lit(rule.kind),
         "table_name": F.lit(table),
         "column_name": F.lit(rule.column_label),
+        "evaluated": F.lit(0),
+        "failed": F.lit(0),
         **fields,
     }
     return F.struct(

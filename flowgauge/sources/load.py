@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import logging
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowgauge.schemas import DAG_RUNS, LOAD_DATE, TASK_INSTANCES
+from flowgauge.schemas import LOAD_DATE
 from flowgauge.sources.extract import extract_dag_runs, extract_task_instances
 from flowgauge.sources.readers import Source
 
@@ -45,8 +45,9 @@ def load(
     """Write an extract to ``table`` and return the number of rows written.
 
     ``append``, ``replace`` and ``fail`` behave as usual for an existing table.
-    ``refresh`` replaces the rows of the same ``load_date`` only, so a load that
-    is repeated leaves one copy.  An empty extract is skipped with a warning.
+    ``refresh`` overwrites the partition of ``load_date`` (today if not given)
+    and no other, so a load that is repeated leaves one copy.  An empty extract
+    is skipped with a warning.
 
     Rows are counted while they are written; the extract runs once.
     """
@@ -56,19 +57,20 @@ def load(
     if df.isEmpty():
         log.warning("nothing to load into %s", table)
         return 0
-    day = F.lit(load_date) if load_date else F.to_date("extracted_at")
+    day = load_date or datetime.now(timezone.utc).date()
     counter = Observation(f"load_{table}")
-    dated = df.withColumn(LOAD_DATE.name, day.cast("date")).observe(
-        counter, F.count(F.lit(1)).alias("rows")
-    )
+    counted = df.observe(counter, F.count(F.lit(1)).alias("rows"))
     if if_exists in ("append", "refresh"):
         ensure_table(spark, table, df.schema)
     if if_exists == "refresh":
-        columns = spark.table(table).columns
-        dated.select(*columns).write.option("partitionOverwriteMode", "dynamic").insertInto(
-            table, overwrite=True
+        columns = [name for name in spark.table(table).columns if name != LOAD_DATE.name]
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {table} PARTITION ({LOAD_DATE.name} = DATE'{day}') "
+            "SELECT * FROM {extract}",
+            extract=counted.select(*columns),
         )
     else:
+        dated = counted.withColumn(LOAD_DATE.name, F.lit(day))
         mode = WRITE_MODES[if_exists]
         dated.write.mode(mode).partitionBy(LOAD_DATE.name).saveAsTable(table)
     return counter.get["rows"]
@@ -100,6 +102,3 @@ def extract_and_load(
         f"{name}_count": load(df, f"{database}.{name}", if_exists, load_date)
         for name, df in extracts.items()
     }
-
-
-TARGET_SCHEMAS = {"dag_runs": DAG_RUNS, "task_instances": TASK_INSTANCES}

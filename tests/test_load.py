@@ -1,0 +1,208 @@
+from datetime import date, datetime, timedelta, timezone
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from flowgauge.plans.models import MODELS, build_models, selected_models
+from flowgauge.plans.pipeline import QualityError, run_pipeline
+from flowgauge.quality.checks import table_exists
+from flowgauge.schemas import DAG_RUNS, LOAD_DATE, TASK_INSTANCES
+from flowgauge.sources import (
+    JdbcSource,
+    ensure_table,
+    extract_and_load,
+    extract_dag_runs,
+    extract_task_instances,
+    incremental_window,
+    load,
+    load_window,
+    scan,
+)
+
+T0 = datetime(2024, 1, 10, 2)
+
+
+@pytest.fixture
+def database(spark, request):
+    name = "db_" + "".join(c if c.isalnum() else "_" for c in request.node.name.lower())
+    spark.sql(f"CREATE DATABASE {name}")
+    yield name
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def at(hours, **more):
+    return {"execution_date": T0 + timedelta(hours=hours), **more}
+
+
+def test_window_bounds_are_inclusive_and_optional(make_runs):
+    runs = make_runs(at(-25), at(-24), at(-1), at(0), at(1))
+
+    def count(start=None, end=None):
+        return incremental_window(runs, start, end).count()
+
+    assert load_window(T0) == (T0 - timedelta(days=1), T0)
+    assert count(*load_window(T0)) == 3
+    assert (count(), count(start=T0), count(end=T0)) == (5, 2, 4)
+
+
+def test_window_over_instants(spark, make_runs):
+    runs = make_runs(at(0)).withColumn("execution_date", F.col("execution_date").cast("timestamp"))
+    assert incremental_window(runs, T0, T0).count() == 1
+
+
+def test_extract_derives_run_duration_but_keeps_task_duration(spark, make_runs, make_tasks):
+    ends = {"start_date": T0, "end_date": T0 + timedelta(seconds=30), "duration": 99.0}
+    run = extract_dag_runs(spark, make_runs(at(0, **ends)), as_of=T0).first()
+    assert run.duration == 30.0 and run.extracted_at == T0
+    open_run = extract_dag_runs(spark, make_runs(at(0, start_date=T0, duration=9.0))).first()
+    assert open_run.duration is None
+    task = extract_task_instances(spark, make_tasks(at(0, **ends)), as_of=T0).first()
+    assert task.duration == 99.0 and task.try_number == 1
+
+
+def test_load_time_is_utc_now(spark, make_runs):
+    stamp = extract_dag_runs(spark, make_runs(at(0))).first().extracted_at
+    assert abs((datetime.now(timezone.utc).replace(tzinfo=None) - stamp).total_seconds()) < 600
+
+
+def test_scan_reads_paths_and_tables(spark, make_runs, tmp_path, database):
+    runs = make_runs(at(0), at(1))
+    runs.write.parquet(str(tmp_path / "runs"))
+    runs.write.saveAsTable(f"{database}.runs")
+    for source in (runs, str(tmp_path / "runs"), f"{database}.runs"):
+        assert scan(spark, source, DAG_RUNS).count() == 2
+
+
+def test_jdbc_options_slice_the_window():
+    """Options only: no database runs here."""
+    source = JdbcSource("jdbc:postgresql://host/db", "task_instance", user="u", password="p", partitions=8)
+    options = source.read_options(*load_window(T0))
+    assert options["partitionColumn"] == "execution_date" and options["numPartitions"] == "8"
+    assert options["lowerBound"] == "2024-01-09 02:00:00" and options["upperBound"] == "2024-01-10 02:00:00"
+    assert source.write_options()["batchsize"] == "1000"
+    assert "p'" not in repr(source)
+    with pytest.raises(ValueError):
+        source.read_options()
+
+
+def test_refresh_twice_equals_once(spark, make_runs, database):
+    table = f"{database}.dag_runs"
+    first, second = make_runs(at(0), at(1)), make_runs(at(2))
+    for _ in range(2):
+        assert load(first, table, "refresh", date(2024, 1, 10)) == 2
+        assert load(second, table, "refresh", date(2024, 1, 11)) == 1
+    assert spark.table(table).count() == 3
+    assert spark.table(table).columns == [*DAG_RUNS.names, "load_date"]
+
+
+def test_write_modes(spark, make_runs, database):
+    table = f"{database}.dag_runs"
+    runs = make_runs(at(0), at(1))
+    assert load(runs, table) == 2
+    assert load(runs, table) == 2 and spark.table(table).count() == 4
+    assert load(runs, table, "replace") == 2 and spark.table(table).count() == 2
+    with pytest.raises(Exception, match="already exists"):
+        load(runs, table, "fail")
+    with pytest.raises(ValueError):
+        load(runs, table, "upsert")
+
+
+def test_empty_extract_is_skipped(spark, make_runs, database):
+    table = f"{database}.dag_runs"
+    load(make_runs(at(0)), table)
+    for mode in ("append", "replace", "refresh"):
+        assert load(make_runs(at(0)).where("false"), table, mode) == 0
+    assert spark.table(table).count() == 1
+    assert load(make_runs(at(0)).where("false"), f"{database}.never") == 0
+    assert not table_exists(spark, f"{database}.never")
+
+
+def test_tables_carry_descriptions(spark, database):
+    table = f"{database}.task_instances"
+    assert ensure_table(spark, table, TASK_INSTANCES) and ensure_table(spark, table, TASK_INSTANCES)
+    comments = {f.name: f.metadata.get("comment") for f in spark.table(table).schema}
+    assert comments["try_number"] == TASK_INSTANCES["try_number"].metadata["comment"]
+    assert comments["load_date"] == LOAD_DATE.metadata["comment"]
+    assert not ensure_table(spark, "no_such_database.t", T.StructType([]))
+
+
+def days(make, per_day=4):
+    """Rows every six hours, so that each window has rows on both of its bounds."""
+    ends = {"start_date": T0, "end_date": T0 + timedelta(seconds=30), "duration": 30.0}
+    return make(*[at(6 * n - 24, **ends) for n in range(per_day * 3 + 1)])
+
+
+def test_three_days_loaded_twice(spark, make_runs, make_tasks, database):
+    """Windows touch at 02:00 and both bounds belong to them, so boundary rows come twice."""
+    runs, tasks = days(make_runs), days(make_tasks)
+    for day in range(3):
+        logical = T0 + timedelta(days=day)
+        for _ in range(2):
+            counts = extract_and_load(
+                spark, runs, tasks, *load_window(logical), as_of=logical, database=database
+            )
+            assert counts == {"dag_runs_count": 5, "task_instances_count": 5}
+    loaded = spark.table(f"{database}.dag_runs")
+    assert loaded.count() == 15 and loaded.select("execution_date").distinct().count() == 13
+
+    from flowgauge.operators import latest_per_key
+
+    assert latest_per_key(loaded, ["dag_id", "execution_date"]).count() == 13
+
+
+def test_selection_by_name_and_tag():
+    assert selected_models()[:1] != [] and set(selected_models()) == set(MODELS)
+    order = selected_models()
+    for name, model in MODELS.items():
+        assert all(order.index(i) < order.index(name) for i in model.inputs if i in MODELS)
+    assert set(selected_models(["tag:staging"])) == {"stg_dag_runs", "stg_task_instances"}
+    assert set(selected_models(["tag:dag_metrics"])) == {"dag_runtime_metrics", "dag_failure_rates"}
+    assert selected_models(["sla_misses"]) == ["sla_misses"]
+    with pytest.raises(ValueError):
+        selected_models(["tag:none"])
+
+
+def test_build_models(spark, make_runs, make_tasks, database):
+    sources = {"dag_runs": days(make_runs), "task_instances": days(make_tasks)}
+    built = build_models(spark, sources, database=database)
+    assert set(built) == set(MODELS)
+    for name in built:
+        df = spark.table(name if name.startswith("stg_") else f"{database}.{name}")
+        assert df.count() > 0
+    stored = spark.table(f"{database}.sla_misses").schema
+    assert stored["sla_misses"].metadata["comment"]
+    spark.catalog.dropTempView("stg_dag_runs")
+    assert build_models(spark, sources, ["tag:staging"]) == ["stg_dag_runs", "stg_task_instances"]
+    assert spark.table("stg_dag_runs").schema["calculated_duration"].metadata["comment"]
+
+
+def test_pipeline_end_to_end(spark, make_runs, make_tasks, database):
+    result = run_pipeline(spark, days(make_runs), days(make_tasks), T0, as_of=T0, database=database)
+    assert result.counts == {"dag_runs_count": 5, "task_instances_count": 5}
+    assert result.all_passed and (result.passed_count, result.total_count) == (20, 20)
+    assert spark.table(f"{database}.slowest_tasks").first().total_executions == 5
+
+
+def test_pipeline_warns_or_raises(spark, make_runs, make_tasks, database, caplog):
+    bad = days(make_tasks).withColumn("try_number", F.lit(0))
+    result = run_pipeline(spark, days(make_runs), bad, T0, as_of=T0, database=database)
+    assert not result.all_passed and result.passed_count == 19
+    assert "1 of 20 quality checks failed" in caplog.text and result.models
+    with pytest.raises(QualityError):
+        run_pipeline(
+            spark, days(make_runs), bad, T0, as_of=T0, database=database, on_failure="raise"
+        )
+
+
+def test_pipeline_without_data(spark, make_runs, make_tasks, database):
+    """Nothing is loaded, so the tables are missing: reported, and no model is built."""
+    early = T0 - timedelta(days=900)
+    result = run_pipeline(spark, days(make_runs), days(make_tasks), early, database=database)
+    assert result.counts == {"dag_runs_count": 0, "task_instances_count": 0}
+    assert not result.all_passed and result.total_count == 2 and result.models == []
+
+
+def test_pipeline_errors_surface(spark, make_runs, database):
+    with pytest.raises(Exception):
+        run_pipeline(spark, days(make_runs), "no_such_table", T0, database=database)
