@@ -112,8 +112,8 @@ def grouped_percentiles(
     holds_any = F.col("_total") == 0
     for wanted in [edge(p) for p in place.values() for edge in (F.floor, F.ceil)]:
         holds_any |= wanted.between(F.col("_before"), F.col("_before") + F.col("_size") - 1)
-    group_facts = F.struct("_total", *totals).alias("_facts")
-    targets = buckets.where(holds_any).select(GROUP, BUCKET, "_before", group_facts)
+    facts = ["_total", *totals]  # the same in every row of a group
+    targets = buckets.where(holds_any).select(GROUP, BUCKET, "_before", *facts)
 
     # Running counts inside those buckets, then the values at the positions.
     by_value = (
@@ -124,8 +124,7 @@ def grouped_percentiles(
     placed = counts.join(targets, [GROUP, BUCKET]).select(
         GROUP,
         VALUE,
-        "_facts",
-        F.col("_facts._total").alias("_total"),
+        *facts,
         (F.col("_before") + F.sum(weight).over(by_value)).alias("_end"),
         weight.alias("_weight"),
     )
@@ -134,15 +133,14 @@ def grouped_percentiles(
         here = position.between(F.col("_end") - F.col("_weight"), F.col("_end") - 1)
         return F.max(F.when(here, F.col(VALUE).cast("double")))
 
-    picks = [F.max("_facts").alias("_facts")]
+    picks = [F.max(fact).alias(fact) for fact in facts]
     for name in quantiles:
         picks.append(value_at(F.floor(place[name])).alias(f"_low_{name}"))
         picks.append(value_at(F.ceil(place[name])).alias(f"_high_{name}"))
 
     def interpolated(name: str) -> Column:
         low, high = F.col(f"_low_{name}"), F.col(f"_high_{name}")
-        position = F.lit(float(quantiles[name])) * (F.col("_facts._total") - 1)
-        part = position - F.floor(position)
+        part = place[name] - F.floor(place[name])
         return F.when(low == high, low).otherwise(low + (high - low) * part).alias(name)
 
     return (
@@ -150,7 +148,7 @@ def grouped_percentiles(
         .agg(*picks)
         .select(
             *[F.col(GROUP)[key].alias(key) for key in keys],
-            *[F.col("_facts")[name].alias(name) for name in totals],
+            *totals,
             *[interpolated(name) for name in quantiles],
         )
     )

@@ -16,6 +16,9 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
+    # Recording the Python call site of every column expression costs more than
+    # planning the query does; errors still name the column.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
