@@ -42,6 +42,8 @@ def main() -> None:
         "bench",
         f"local[{cpus}]",
         spark__sql__shuffle__partitions=cpus,
+        # Megabytes of data: keep all cores busy instead of filling 1 MB partitions.
+        spark__sql__adaptive__coalescePartitions__minPartitionSize="64KB",
         spark__driver__memory="8g",
         spark__ui__showConsoleProgress="false",
     )

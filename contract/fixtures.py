@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from flowgauge.schemas import DAG_RUNS, TASK_INSTANCES
 
-TASKS = (("extract", 1), ("transform", 2), ("load", 3))
-
-
 EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE"
 
 
@@ -18,39 +14,33 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
-def _later(moment: Column, seconds: Column) -> Column:
-    return moment + seconds * F.expr("INTERVAL '1' SECOND")
-
-
-def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tens = F.col("user_id") % 10
-    tier = F.when(tens == 0, "critical_").when(tens.isin(1, 2), "daily_").otherwise("adhoc_")
-    return events(spark, sf_dir).select(
-        "event_id",
-        "event_type",
-        F.concat(tier, tens.cast("string")).alias("dag_id"),
-        F.col("ts").alias("execution_date"),
-        F.round(F.col("value") * 100).cast("bigint").alias("secs"),
-        _later(F.col("ts"), F.col("event_id") % 60).alias("start_date"),
-        (F.col("ts") + F.expr("INTERVAL '1' DAY")).alias("extracted_at"),
-    )
+_BASE = (
+    "event_id",
+    "event_type",
+    """concat(CASE WHEN user_id % 10 = 0 THEN 'critical_' WHEN user_id % 10 IN (1, 2) THEN 'daily_'
+              ELSE 'adhoc_' END, string(user_id % 10)) AS dag_id""",
+    "ts AS execution_date",
+    "bigint(round(value * 100)) AS secs",
+    "ts + (event_id % 60) * INTERVAL '1' SECOND AS start_date",
+    "ts + INTERVAL '1' DAY AS extracted_at",
+)
 
 
 def dag_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One run per event."""
-    state = (
-        F.when(F.col("event_type") == "error", "failed")
-        .when(F.col("event_type") == "purchase", "running")
-        .when(F.col("event_type") == "signup", "queued")
-        .otherwise("success")
-    )
-    done = ~F.col("state").isin("running", "queued")
     return (
-        _base(spark, sf_dir)
-        .withColumn("state", state)
-        .withColumn("end_date", F.when(done, _later(F.col("start_date"), F.col("secs"))))
-        .withColumn(
-            "duration", F.when(done & (F.col("event_id") % 5 != 0), F.col("secs").cast("double"))
+        events(spark, sf_dir)
+        .selectExpr(
+            *_BASE,
+            """CASE event_type WHEN 'error' THEN 'failed' WHEN 'purchase' THEN 'running'
+               WHEN 'signup' THEN 'queued' ELSE 'success' END AS state""",
+        )
+        .selectExpr(
+            "*",
+            """CASE WHEN state NOT IN ('running', 'queued')
+               THEN start_date + secs * INTERVAL '1' SECOND END AS end_date""",
+            """CASE WHEN state NOT IN ('running', 'queued') AND event_id % 5 <> 0
+               THEN double(secs) END AS duration""",
         )
         .select(*DAG_RUNS.names)
     )
@@ -58,57 +48,50 @@ def dag_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def task_instances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three task runs per event; made by a generator, not by a join."""
-    tasks = F.array(
-        *[F.struct(F.lit(name).alias("task_id"), F.lit(k).alias("k")) for name, k in TASKS]
-    )
-    k, kind = F.col("k"), F.col("event_type")
-    state = (
-        F.when((kind == "error") & (k == 3), "failed")
-        .when((kind == "error") & (k == 2), "up_for_retry")
-        .when((kind == "purchase") & (k == 3), "running")
-        .otherwise("success")
-    )
-    done = F.col("state") != "running"
-    secs = F.col("secs") * k
     return (
-        _base(spark, sf_dir)
-        .select("*", F.inline(tasks))
-        .withColumn("state", state)
-        .withColumn("end_date", F.when(done, _later(F.col("start_date"), secs)))
-        .withColumn("duration", F.when(done & (F.col("event_id") % 5 != 0), secs.cast("double")))
-        .withColumn("try_number", (1 + (F.col("event_id") + k) % 3).cast("int"))
+        events(spark, sf_dir)
+        .selectExpr(
+            *_BASE,
+            "stack(3, 'extract', 1, 'transform', 2, 'load', 3) AS (task_id, k)",
+        )
+        .selectExpr(
+            "* EXCEPT (secs)",
+            "secs * k AS secs",
+            """CASE WHEN event_type = 'error' AND k = 3 THEN 'failed'
+                    WHEN event_type = 'error' AND k = 2 THEN 'up_for_retry'
+                    WHEN event_type = 'purchase' AND k = 3 THEN 'running'
+                    ELSE 'success' END AS state""",
+        )
+        .selectExpr(
+            "*",
+            """CASE WHEN state <> 'running'
+               THEN start_date + secs * INTERVAL '1' SECOND END AS end_date""",
+            "CASE WHEN state <> 'running' AND event_id % 5 <> 0 THEN double(secs) END AS duration",
+            "int(1 + (event_id + k) % 3) AS try_number",
+        )
         .select(*TASK_INSTANCES.names)
     )
 
 
 def dirty_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Task-like rows with planted faults, for the quality checks."""
-    event_id, kind = F.col("event_id"), F.col("event_type")
-
-    def every(n: int) -> Column:
-        return event_id % n == 0
-
-    clean_state = F.when(kind == "error", "failed").when(kind == "purchase", "running")
-    state = (
-        F.when(every(89), F.lit("bogus"))
-        .when(every(83), F.lit(None).cast("string"))
-        .otherwise(clean_state.otherwise("success"))
-    )
-    secs = F.when(every(79), F.lit(-60)).otherwise(F.round(F.col("value") * 100)).cast("bigint")
-    done = kind != "purchase"
-    name = F.concat(F.lit("d"), (F.col("user_id") % 10).cast("string"))
     return (
         events(spark, sf_dir)
-        .withColumn("_secs", secs)
-        .select(
-            F.when(~every(97), name).alias("dag_id"),
-            F.lit("load").alias("task_id"),
-            F.col("ts").alias("execution_date"),
-            state.alias("state"),
-            F.col("ts").alias("start_date"),
-            F.when(done, _later(F.col("ts"), F.col("_secs"))).alias("end_date"),
-            F.when(done, F.col("_secs").cast("double")).alias("duration"),
-            F.when(every(71), 0).otherwise(1 + event_id % 3).cast("int").alias("try_number"),
-            (F.col("ts") + F.expr("INTERVAL '1' DAY")).alias("extracted_at"),
+        .selectExpr(
+            "*", "CASE WHEN event_id % 79 = 0 THEN -60 ELSE bigint(round(value * 100)) END AS secs"
+        )
+        .selectExpr(
+            "CASE WHEN event_id % 97 <> 0 THEN concat('d', user_id % 10) END AS dag_id",
+            "'load' AS task_id",
+            "ts AS execution_date",
+            """CASE WHEN event_id % 89 = 0 THEN 'bogus' WHEN event_id % 83 = 0 THEN NULL
+                    WHEN event_type = 'error' THEN 'failed'
+                    WHEN event_type = 'purchase' THEN 'running' ELSE 'success' END AS state""",
+            "ts AS start_date",
+            """CASE WHEN event_type <> 'purchase'
+               THEN ts + secs * INTERVAL '1' SECOND END AS end_date""",
+            "CASE WHEN event_type <> 'purchase' THEN double(secs) END AS duration",
+            "int(CASE WHEN event_id % 71 = 0 THEN 0 ELSE 1 + event_id % 3 END) AS try_number",
+            "ts + INTERVAL '1' DAY AS extracted_at",
         )
     )
