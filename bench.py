@@ -1,7 +1,7 @@
 """Headline queries, timed: prints one JSON line.
 
 Each query is planned and run afresh every time, all its rows are produced, and
-the median of the timed runs counts.  BENCH_SF_DIR and BENCH_CPUS set the input
+the median of the timed runs counts; the warm-up rounds go over all queries.  BENCH_SF_DIR and BENCH_CPUS set the input
 and the cores, BENCH_WARMUPS and BENCH_RUNS the repetitions.
 """
 
@@ -48,14 +48,13 @@ def main() -> None:
         spark__ui__showConsoleProgress="false",
     )
     spark.sparkContext.setLogLevel("ERROR")
-    medians = {}
-    for name in HEADLINE:
-        times = []
-        for _ in range(warmups + runs):
+    times: dict[str, list[float]] = {name: [] for name in HEADLINE}
+    for _ in range(warmups + runs):
+        for name in HEADLINE:
             began = time.perf_counter()
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            times.append(time.perf_counter() - began)
-        medians[name] = round(statistics.median(times[warmups:]), 4)
+            times[name].append(time.perf_counter() - began)
+    medians = {name: round(statistics.median(t[warmups:]), 4) for name, t in times.items()}
     rows = spark.read.parquet(f"{sf_dir}/events.parquet").count()
     result = {
         "metric": "sum of median seconds per headline query",

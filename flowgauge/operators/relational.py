@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from flowgauge.functions import sla_threshold
 from flowgauge.schemas import SlaThresholds
 
+BROADCAST_ROWS = 50_000
 SALTS = 32
 
 
@@ -25,25 +26,33 @@ def sla_thresholds(tasks: DataFrame, thresholds: SlaThresholds = SlaThresholds()
     )
 
 
-def join_thresholds(tasks: DataFrame, thresholds: DataFrame, salts: int = SALTS) -> DataFrame:
+def join_thresholds(
+    tasks: DataFrame,
+    thresholds: DataFrame,
+    broadcast_rows: int = BROADCAST_ROWS,
+    salts: int = SALTS,
+) -> DataFrame:
     """Task runs with the threshold of their task; rows without one drop out.
 
-    ``thresholds`` has one row per (dag_id, task_id).  No broadcast is forced:
-    the table grows with the number of tasks, so Spark decides by its measured
-    size.  When it does shuffle, one task may own a third of all rows; those
-    are spread over ``salts`` partitions by a hash of the run, and each
-    threshold row is repeated once per salt.  The hash is a function of the
-    row, so a repeated task reproduces it.
+    ``thresholds`` has one row per (dag_id, task_id).  It is counted first, but
+    no further than ``broadcast_rows``: up to that size it is broadcast and the
+    task runs stay where they are.
+
+    Beyond it the join shuffles.  One task may own a third of all runs, so runs
+    are spread over ``salts`` partitions by a hash of their times, and each
+    threshold is repeated once per salt.  The hash depends on the row alone, so
+    a task that is run again reproduces it; and because the salt is part of the
+    join key, adaptive execution may split a partition that is still too large.
     """
+    keys = ["dag_id", "task_id"]
+    limits = thresholds.select(*keys, "sla_threshold_seconds")
+    if limits.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        return tasks.join(F.broadcast(limits), keys, "inner")
     run_hash = F.xxhash64("execution_date", "start_date", "end_date")
     salted = tasks.withColumn("_salt", F.pmod(run_hash, F.lit(salts)).cast("int"))
-    repeated = thresholds.select(
-        "dag_id",
-        "task_id",
-        "sla_threshold_seconds",
-        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"),
-    )
-    return salted.join(repeated, ["dag_id", "task_id", "_salt"], "inner").drop("_salt")
+    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")
+    repeated = limits.select("*", every_salt)
+    return salted.join(repeated, [*keys, "_salt"], "inner").drop("_salt")
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], newest_by: str = "extracted_at") -> DataFrame:

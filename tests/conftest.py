@@ -24,6 +24,7 @@ def spark(tmp_path_factory):
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoints")),
         spark__ui__showConsoleProgress="false",
+        spark__sql__maxMetadataStringLength="2000",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -145,8 +145,9 @@ def test_thresholds_join_drops_unnamed_tasks_and_repeats_nothing(make_tasks):
         {"dag_id": "x", "task_id": "unknown", "duration": 1.0},
     )
     limits = sla_thresholds(tasks).where("coalesce(task_id, '') <> 'unknown'")
-    joined = join_thresholds(tasks, limits)
-    assert [(r.dag_id, r.sla_threshold_seconds) for r in joined.collect()] == [("daily_1", 7200)] * 2
+    for broadcast_rows in (0, 100):
+        joined = join_thresholds(tasks, limits, broadcast_rows).collect()
+        assert [(r.dag_id, r.sla_threshold_seconds) for r in joined] == [("daily_1", 7200)] * 2
 
 
 @pytest.mark.parametrize("salts", [1, 2, 64])
@@ -156,7 +157,7 @@ def test_thresholds_join_is_the_same_for_any_salt(spark, sf_dir, salts):
     tasks = fixtures.task_instances(spark, sf_dir)
     limits = sla_thresholds(tasks)
     plain = tasks.join(limits, ["dag_id", "task_id"])
-    salted = join_thresholds(tasks, limits, salts).select(*plain.columns)
+    salted = join_thresholds(tasks, limits, broadcast_rows=0, salts=salts).select(*plain.columns)
     assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
 
 
