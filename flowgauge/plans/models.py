@@ -100,8 +100,8 @@ def build_models(
     for name in chosen:
         if MODELS[name].stored:
             table = f"{database}.{name}"
-            writer = frame(name).write.mode("overwrite").option("comment", MODEL_COMMENTS[name][0])
-            writer.saveAsTable(table)
+            frame(name).write.mode("overwrite").saveAsTable(table)
+            spark.sql(f"COMMENT ON TABLE {table} IS '{MODEL_COMMENTS[name][0]}'")
         else:
             frame(name).createOrReplaceTempView(name)
     return chosen

@@ -3,14 +3,23 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
 from flowgauge.plans.models import build_models
-from flowgauge.quality.checks import run_standard_checks, summarize, table_exists
-from flowgauge.quality.suites import dag_runs_suite, run_suite, task_instances_suite
+from flowgauge.quality.checks import (
+    STANDARD_SUITE,
+    run_standard_checks,
+    standard_checks,
+    summarize,
+    table_exists,
+)
+from flowgauge.quality.rules import run_rule_sets
+from flowgauge.quality.suites import dag_runs_suite, task_instances_suite
 from flowgauge.schemas import SlaThresholds
 from flowgauge.sources.load import extract_and_load, load_window
 from flowgauge.sources.readers import Source
@@ -34,6 +43,26 @@ class PipelineResult:
     models: list[str]
 
 
+def run_all_rules(
+    spark: SparkSession, tables: Mapping[str, DataFrame | None], as_of: datetime
+) -> DataFrame:
+    """The standard battery and the rule suites of both tables, one scan per table.
+
+    With a table missing there is only the battery's report of that.
+    """
+    if any(df is None for df in tables.values()):
+        return run_standard_checks(spark, tables, as_of)
+    parts = [
+        run_rule_sets(
+            tables[suite.table],
+            {STANDARD_SUITE: standard_checks(suite.table, as_of), suite.name: suite.rules},
+            suite.table,
+        )
+        for suite in (dag_runs_suite(), task_instances_suite())
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def run_pipeline(
     spark: SparkSession,
     runs_source: Source,
@@ -63,10 +92,7 @@ def run_pipeline(
         name: spark.table(f"{database}.{name}") if table_exists(spark, f"{database}.{name}") else None
         for name in names
     }
-    results = run_standard_checks(spark, tables, as_of or logical_time)
-    for suite in (dag_runs_suite(), task_instances_suite()):
-        if tables[suite.table] is not None:
-            results = results.unionByName(run_suite(tables[suite.table], suite))
+    results = run_all_rules(spark, tables, as_of or logical_time)
     stored = f"{database}.{RESULTS_TABLE}"
     results.write.mode("overwrite").saveAsTable(stored)
     checks = spark.table(stored)

@@ -8,7 +8,7 @@ shuffle by value of its own.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
@@ -298,14 +298,19 @@ def run_rules(df: DataFrame, rules: Sequence[Rule], suite: str, table: str) -> D
     A rule on a column the table lacks becomes a failed row with an error; the
     others run as usual.
     """
+    return run_rule_sets(df, {suite: rules}, table)
+
+
+def run_rule_sets(df: DataFrame, rule_sets: Mapping[str, Sequence[Rule]], table: str) -> DataFrame:
+    """``run_rules`` for several suites on one table, still in a single scan."""
 
     def missing(rule: Rule) -> list[str]:
         return [name for name in rule.reads if name not in df.columns]
 
-    def compiled(source: DataFrame, chosen: Sequence[Rule]) -> DataFrame:
+    def compiled(source: DataFrame, chosen: Sequence[tuple[str, Rule]]) -> DataFrame:
         figures: list[Column] = []
         rows: list[Column] = []
-        for number, rule in enumerate(chosen):
+        for number, (suite, rule) in enumerate(chosen):
             absent = missing(rule)
             if absent:
                 text = f"column not found: {', '.join(absent)}"
@@ -319,8 +324,9 @@ def run_rules(df: DataFrame, rules: Sequence[Rule], suite: str, table: str) -> D
             return df.sparkSession.range(1).select(F.inline(F.array(*rows)))
         return source.agg(*figures).select(F.inline(F.array(*rows)))
 
-    lone = [rule for rule in rules if isinstance(rule, Unique) and not missing(rule)]
-    shared = [rule for rule in rules if rule not in lone]
+    labelled = [(suite, rule) for suite, rules in rule_sets.items() for rule in rules]
+    lone = [pair for pair in labelled if isinstance(pair[1], Unique) and not missing(pair[1])]
+    shared = [pair for pair in labelled if pair not in lone]
     parts = [compiled(df, shared)] if shared else []
-    parts += [compiled(rule.tallied(df), [rule]) for rule in lone]
+    parts += [compiled(rule.tallied(df), [(suite, rule)]) for suite, rule in lone]
     return reduce(DataFrame.unionByName, parts)

@@ -104,6 +104,11 @@ CHECK_RESULT = T.StructType(
     ]
 )
 
+TABLE_COMMENTS = {
+    "dag_runs": "copied history of workflow runs",
+    "task_instances": "copied history of task runs",
+}
+
 #: Table and column descriptions of the models; stored with the tables.
 MODEL_COMMENTS: dict[str, tuple[str, dict[str, str]]] = {
     "stg_dag_runs": (

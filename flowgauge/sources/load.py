@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowgauge.schemas import LOAD_DATE
+from flowgauge.schemas import LOAD_DATE, TABLE_COMMENTS
 from flowgauge.sources.extract import extract_dag_runs, extract_task_instances
-from flowgauge.sources.readers import Source
+from flowgauge.sources.readers import JdbcSource, Source, write_jdbc
 
 log = logging.getLogger(__name__)
 
@@ -33,6 +33,9 @@ def ensure_table(spark: SparkSession, table: str, schema: T.StructType) -> bool:
         with_date = T.StructType([*schema.fields, LOAD_DATE])
         empty = spark.createDataFrame([], with_date)
         empty.write.mode("ignore").partitionBy(LOAD_DATE.name).saveAsTable(table)
+        description = TABLE_COMMENTS.get(table.split(".")[-1])
+        if description:
+            spark.sql(f"COMMENT ON TABLE {table} IS '{description}'")
         return True
     except Exception as problem:  # noqa: BLE001 - see above
         log.warning("could not create table %s: %s", table, problem)
@@ -40,39 +43,51 @@ def ensure_table(spark: SparkSession, table: str, schema: T.StructType) -> bool:
 
 
 def load(
-    df: DataFrame, table: str, if_exists: str = "append", load_date: date | None = None
+    df: DataFrame,
+    target: str | JdbcSource,
+    if_exists: str = "append",
+    load_date: date | None = None,
 ) -> int:
-    """Write an extract to ``table`` and return the number of rows written.
+    """Write an extract to a table and return the number of rows written.
 
     ``append``, ``replace`` and ``fail`` behave as usual for an existing table.
     ``refresh`` overwrites the partition of ``load_date`` (today if not given)
     and no other, so a load that is repeated leaves one copy.  An empty extract
     is skipped with a warning.
 
+    A ``target`` in a database is written in batches.  It has no load dates to
+    refresh, and a task that is run again after its commit repeats its rows
+    there; tables of the catalog have neither limit.
+
     Rows are counted while they are written; the extract runs once.
     """
     spark = df.sparkSession
     if if_exists != "refresh" and if_exists not in WRITE_MODES:
         raise ValueError(f"if_exists must be refresh or one of {', '.join(WRITE_MODES)}")
+    if if_exists == "refresh" and isinstance(target, JdbcSource):
+        raise ValueError("a database table cannot be refreshed by load date")
     if df.isEmpty():
-        log.warning("nothing to load into %s", table)
+        log.warning("nothing to load into %s", target)
         return 0
     day = load_date or datetime.now(timezone.utc).date()
-    counter = Observation(f"load_{table}")
+    counter = Observation()
     counted = df.observe(counter, F.count(F.lit(1)).alias("rows"))
+    if isinstance(target, JdbcSource):
+        write_jdbc(counted, target, WRITE_MODES[if_exists])
+        return counter.get["rows"]
     if if_exists in ("append", "refresh"):
-        ensure_table(spark, table, df.schema)
+        ensure_table(spark, target, df.schema)
     if if_exists == "refresh":
-        columns = [name for name in spark.table(table).columns if name != LOAD_DATE.name]
+        columns = [name for name in spark.table(target).columns if name != LOAD_DATE.name]
         spark.sql(
-            f"INSERT OVERWRITE TABLE {table} PARTITION ({LOAD_DATE.name} = DATE'{day}') "
+            f"INSERT OVERWRITE TABLE {target} PARTITION ({LOAD_DATE.name} = DATE'{day}') "
             "SELECT * FROM {extract}",
             extract=counted.select(*columns),
         )
     else:
         dated = counted.withColumn(LOAD_DATE.name, F.lit(day))
         mode = WRITE_MODES[if_exists]
-        dated.write.mode(mode).partitionBy(LOAD_DATE.name).saveAsTable(table)
+        dated.write.mode(mode).partitionBy(LOAD_DATE.name).saveAsTable(target)
     return counter.get["rows"]
 
 
@@ -88,11 +103,12 @@ def extract_and_load(
 ) -> dict[str, int]:
     """Extract and load both tables; returns the row counts.
 
-    The rows carry the load date of ``as_of`` (or of ``end``), so a run that is
-    tried again replaces what its first try wrote, even if that broke off
-    between the two tables.  Give ``if_exists='append'`` to add rows instead.
+    The load date is the day the window ends, whenever the load really runs.  A
+    daily load that is tried again therefore replaces what its first try wrote,
+    even if that broke off between the two tables.  Loads more often than daily
+    share a load date: give ``if_exists='append'`` to add rows instead.
     """
-    stamp = as_of or end
+    stamp = end or as_of
     load_date = stamp.date() if stamp else None
     extracts = {
         "dag_runs": extract_dag_runs(spark, runs_source, start, end, as_of),

@@ -86,6 +86,25 @@ def test_jdbc_options_slice_the_window():
         source.read_options()
 
 
+def test_database_targets_cannot_be_refreshed(make_runs):
+    with pytest.raises(ValueError, match="cannot be refreshed"):
+        load(make_runs(at(0)), JdbcSource("jdbc:x:y", "t"), "refresh")
+
+
+def test_a_later_retry_replaces_the_first_try(spark, make_runs, make_tasks, database):
+    window = load_window(T0)
+    for hours in (0, 30):
+        extract_and_load(
+            spark,
+            days(make_runs),
+            days(make_tasks),
+            *window,
+            as_of=T0 + timedelta(hours=hours),
+            database=database,
+        )
+    assert spark.table(f"{database}.dag_runs").count() == 5
+
+
 def test_refresh_twice_equals_once(spark, make_runs, database):
     table = f"{database}.dag_runs"
     first, second = make_runs(at(0), at(1)), make_runs(at(2))
@@ -124,6 +143,7 @@ def test_tables_carry_descriptions(spark, database):
     comments = {f.name: f.metadata.get("comment") for f in spark.table(table).schema}
     assert comments["try_number"] == TASK_INSTANCES["try_number"].metadata["comment"]
     assert comments["load_date"] == LOAD_DATE.metadata["comment"]
+    assert spark.catalog.getTable(table).description == "copied history of task runs"
     assert not ensure_table(spark, "no_such_database.t", T.StructType([]))
 
 
@@ -172,6 +192,7 @@ def test_build_models(spark, make_runs, make_tasks, database):
         assert df.count() > 0
     stored = spark.table(f"{database}.sla_misses").schema
     assert stored["sla_misses"].metadata["comment"]
+    assert spark.catalog.getTable(f"{database}.sla_misses").description.startswith("service-level")
     spark.catalog.dropTempView("stg_dag_runs")
     assert build_models(spark, sources, ["tag:staging"]) == ["stg_dag_runs", "stg_task_instances"]
     assert spark.table("stg_dag_runs").schema["calculated_duration"].metadata["comment"]

@@ -114,6 +114,15 @@ def test_suite_is_one_scan_and_one_aggregate(stored):
         assert "extracted_at" not in re.findall(r"ReadSchema: struct<([^>]*)>", plan)[0]
 
 
+def test_daily_checks_scan_each_table_once(spark, stored):
+    from flowgauge.plans.pipeline import run_all_rules
+
+    tables = {"dag_runs": stored[0], "task_instances": stored[1]}
+    results = run_all_rules(spark, tables, datetime(2024, 2, 1))
+    plan = final_plan(results)
+    assert results.count() == 20 and scans(plan) == 2 and shuffles(plan) == 2
+
+
 def test_large_threshold_tables_join_by_salted_shuffle(stored, no_broadcast):
     tasks = stg_task_instances(stored[1])
     small = final_plan(join_thresholds(tasks, sla_thresholds(tasks)))
