@@ -22,34 +22,33 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 BUCKETS_PER_DOUBLING = 1024
 _LARGEST_EXPONENT = 1100  # beyond the exponent of any double, on either side of 1
 
 GROUP, BUCKET, VALUE, WEIGHT = "_group", "_bucket", "value", "weight"
-_MERGE = {"sum": F.sum, "min": F.min, "max": F.max}
+_AGGREGATES = ("sum", "min", "max")
 
 
-def magnitude_bucket(value: Column) -> Column:
+def magnitude_bucket(column: str) -> Column:
     """A bucket number that never falls as the value grows; NaN counts as largest.
 
     NULL gets a bucket too.  A bucket that is never NULL keeps joins on it from
     adding a filter to one branch of the plan, and identical branches share
     their scan and shuffle.
     """
-    number = value.cast("double")
+    zero_at = _LARGEST_EXPONENT * BUCKETS_PER_DOUBLING + 1
 
-    def steps(positive: Column) -> Column:
-        bounded = F.least(F.log2(positive), F.lit(float(_LARGEST_EXPONENT)))
-        return F.floor(bounded * BUCKETS_PER_DOUBLING) + _LARGEST_EXPONENT * BUCKETS_PER_DOUBLING + 1
+    def steps(positive: str) -> str:
+        bounded = f"least(log2({positive}), {_LARGEST_EXPONENT}D)"
+        return f"(floor({bounded} * {BUCKETS_PER_DOUBLING}) + {zero_at})"
 
-    bucket = (
-        F.when(F.isnan(number), F.lit(3 * _LARGEST_EXPONENT * BUCKETS_PER_DOUBLING))
-        .when(number > 0, steps(number))
-        .when(number < 0, -steps(-number))
+    v = f"double({column})"
+    return F.expr(
+        f"""coalesce(CASE WHEN isnan({v}) THEN {3 * zero_at}L
+                          WHEN {v} > 0 THEN {steps(v)}
+                          WHEN {v} < 0 THEN -{steps('-' + v)} END, 0L)"""
     )
-    return F.coalesce(bucket.cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def value_counts(
@@ -58,12 +57,12 @@ def value_counts(
     """Rows per (group, value, facets): columns ``_group _bucket value <facets> weight``.
 
     The keys travel as one struct.  Structs compare equal field by field, NULL
-    included, so groups with a NULL key survive the joins below.
+    included, so groups with a NULL key survive the join below.
     """
     measured = F.col(value) if isinstance(value, str) else value
     rows = df.select(F.struct(*keys).alias(GROUP), measured.alias(VALUE), *facets)
     return (
-        rows.withColumn(BUCKET, magnitude_bucket(F.col(VALUE)))
+        rows.withColumn(BUCKET, magnitude_bucket(VALUE))
         .groupBy(GROUP, BUCKET, VALUE, *facets)
         .agg(F.count(F.lit(1)).alias(WEIGHT))
     )
@@ -74,81 +73,78 @@ def grouped_percentiles(
     keys: Sequence[str],
     value: str | Column,
     quantiles: Mapping[str, float],
-    totals: Mapping[str, tuple[str, Column]] | None = None,
+    totals: Mapping[str, tuple[str, str]] | None = None,
     facets: Sequence[str] = (),
 ) -> DataFrame:
     """One row per group: the keys, ``totals`` and the exact ``quantiles`` as doubles.
 
-    ``totals`` maps a name to ``(kind, column)``, kind one of sum, min and max,
-    over the rows of ``value_counts`` with these ``facets``.  They come from the
-    bucket sums that are needed anyway, so one scan and one large shuffle serve
-    everything.  NULL values take no part in the percentiles; a group of NULLs
-    only gets NULL.
+    ``totals`` maps a name to ``(aggregate, expression)``: a sum, min or max over
+    ``value``, ``weight`` (the rows with that value) and the ``facets``.  They
+    come from the bucket sums that are needed anyway, so one scan and one large
+    shuffle serve everything.  NULL values take no part in the percentiles; a
+    group of NULLs only gets NULL.
     """
     totals = dict(totals or {})
+    if any(kind not in _AGGREGATES for kind, _ in totals.values()):
+        raise ValueError(f"totals must be one of {', '.join(_AGGREGATES)}")
+    facts = ["_total", *totals]  # the same in every row of a group
     counts = value_counts(df, keys, value, facets)
-    weight = F.when(F.col(VALUE).isNotNull(), F.col(WEIGHT)).otherwise(F.lit(0))
+    counted = "if(value IS NULL, 0, weight)"
+    position = {name: f"({float(q)!r}D * (_total - 1))" for name, q in quantiles.items()}
 
     # Which buckets hold the wanted positions (positions count from 0).
-    in_order = Window.partitionBy(GROUP).orderBy(BUCKET)
-    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    buckets = (
+    ordered = "OVER (PARTITION BY _group ORDER BY _bucket ROWS BETWEEN UNBOUNDED PRECEDING AND"
+    holds_any = " OR ".join(
+        f"{edge}({place}) BETWEEN _before AND _before + _size - 1"
+        for place in position.values()
+        for edge in ("floor", "ceil")
+    )
+    targets = (
         counts.groupBy(GROUP, BUCKET)
         .agg(
-            F.sum(weight).alias("_size"),
-            *[_MERGE[kind](column).alias(name) for name, (kind, column) in totals.items()],
+            F.expr(f"sum({counted})").alias("_size"),
+            *[F.expr(f"{kind}({part})").alias(name) for name, (kind, part) in totals.items()],
         )
-        .select(
+        .selectExpr(
             GROUP,
             BUCKET,
             "_size",
-            F.sum("_size").over(whole).alias("_total"),
-            (F.sum("_size").over(so_far) - F.col("_size")).alias("_before"),
-            *[_MERGE[kind](name).over(whole).alias(name) for name, (kind, _) in totals.items()],
+            f"sum(_size) {ordered} CURRENT ROW) - _size AS _before",
+            f"sum(_size) {ordered} UNBOUNDED FOLLOWING) AS _total",
+            *[
+                f"{kind}({name}) {ordered} UNBOUNDED FOLLOWING) AS {name}"
+                for name, (kind, _) in totals.items()
+            ],
         )
+        .where(f"_total = 0 OR {holds_any}")
+        .select(GROUP, BUCKET, "_before", *facts)
     )
-    place = {name: F.lit(float(q)) * (F.col("_total") - 1) for name, q in quantiles.items()}
-    holds_any = F.col("_total") == 0
-    for wanted in [edge(p) for p in place.values() for edge in (F.floor, F.ceil)]:
-        holds_any |= wanted.between(F.col("_before"), F.col("_before") + F.col("_size") - 1)
-    facts = ["_total", *totals]  # the same in every row of a group
-    targets = buckets.where(holds_any).select(GROUP, BUCKET, "_before", *facts)
 
     # Running counts inside those buckets, then the values at the positions.
-    by_value = (
-        Window.partitionBy(GROUP, BUCKET)
-        .orderBy(VALUE)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    placed = counts.join(targets, [GROUP, BUCKET]).select(
+    placed = counts.join(targets, [GROUP, BUCKET]).selectExpr(
         GROUP,
         VALUE,
         *facts,
-        (F.col("_before") + F.sum(weight).over(by_value)).alias("_end"),
-        weight.alias("_weight"),
+        f"{counted} AS _weight",
+        f"""_before + sum({counted}) OVER (PARTITION BY _group, _bucket ORDER BY value
+            ROWS UNBOUNDED PRECEDING) AS _end""",
     )
 
-    def value_at(position: Column) -> Column:
-        here = position.between(F.col("_end") - F.col("_weight"), F.col("_end") - 1)
-        return F.max(F.when(here, F.col(VALUE).cast("double")))
+    def value_at(place: str) -> Column:
+        return F.expr(f"max(if({place} BETWEEN _end - _weight AND _end - 1, double(value), NULL))")
 
     picks = [F.max(fact).alias(fact) for fact in facts]
-    for name in quantiles:
-        picks.append(value_at(F.floor(place[name])).alias(f"_low_{name}"))
-        picks.append(value_at(F.ceil(place[name])).alias(f"_high_{name}"))
-
-    def interpolated(name: str) -> Column:
-        low, high = F.col(f"_low_{name}"), F.col(f"_high_{name}")
-        part = place[name] - F.floor(place[name])
-        return F.when(low == high, low).otherwise(low + (high - low) * part).alias(name)
-
+    for name, place in position.items():
+        picks.append(value_at(f"floor({place})").alias(f"_low_{name}"))
+        picks.append(value_at(f"ceil({place})").alias(f"_high_{name}"))
+    interpolated = [
+        f"""CASE WHEN _low_{name} = _high_{name} THEN _low_{name}
+            ELSE _low_{name} + (_high_{name} - _low_{name}) * ({place} - floor({place})) END AS {name}"""
+        for name, place in position.items()
+    ]
+    named_keys = [F.col(GROUP)[key].alias(key) for key in keys]
     return (
         placed.groupBy(GROUP)
         .agg(*picks)
-        .select(
-            *[F.col(GROUP)[key].alias(key) for key in keys],
-            *totals,
-            *[interpolated(name) for name in quantiles],
-        )
+        .select(*named_keys, *totals, *map(F.expr, interpolated))
     )

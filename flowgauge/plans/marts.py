@@ -15,7 +15,6 @@ from flowgauge.operators import (
     rolling_mean,
     top_k,
 )
-from flowgauge.operators.percentile import VALUE, WEIGHT
 from flowgauge.plans.staging import timed
 from flowgauge.schemas import TOP_SLOWEST, SlaThresholds
 
@@ -30,22 +29,18 @@ def _outcomes(state: str) -> Column:
 def dag_runtime_metrics(runs: DataFrame) -> DataFrame:
     """Runtime statistics per workflow and day, over runs with a known duration."""
     daily = timed(runs).withColumn("execution_day", day_of(F.col("execution_date")))
-    runs_in = {
-        state: F.when(F.col("state") == state, F.col(WEIGHT)).otherwise(F.lit(0))
-        for state in ("success", "failed")
-    }
     return grouped_percentiles(
         daily,
         keys=["dag_id", "execution_day"],
         value=DURATION,
         facets=["state"],
         totals={
-            "total_runs": ("sum", F.col(WEIGHT)),
-            "successful_runs": ("sum", runs_in["success"]),
-            "failed_runs": ("sum", runs_in["failed"]),
-            "min_duration_seconds": ("min", F.col(VALUE)),
-            "max_duration_seconds": ("max", F.col(VALUE)),
-            "total_duration_seconds": ("sum", F.col(VALUE) * F.col(WEIGHT)),
+            "total_runs": ("sum", "weight"),
+            "successful_runs": ("sum", "if(state = 'success', weight, 0)"),
+            "failed_runs": ("sum", "if(state = 'failed', weight, 0)"),
+            "min_duration_seconds": ("min", "value"),
+            "max_duration_seconds": ("max", "value"),
+            "total_duration_seconds": ("sum", "value * weight"),
         },
         quantiles={"median_duration_seconds": 0.5, "p95_duration_seconds": 0.95},
     ).select(

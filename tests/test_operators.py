@@ -33,7 +33,7 @@ def percentiles(spark, groups):
         ["g"],
         "v",
         {"p0": 0.0, "p50": 0.5, "p95": 0.95, "p100": 1.0},
-        totals={"n": ("sum", F.col("weight")), "low": ("min", F.col("value"))},
+        totals={"n": ("sum", "weight"), "low": ("min", "value")},
     )
     return {r.g: r for r in result.collect()}
 
@@ -89,7 +89,7 @@ def test_buckets_follow_the_order_of_values(spark):
     df = spark.range(20_000).select(
         (F.exp((noise % 70_000) / 100.0) * F.when(noise % 2 == 0, 1).otherwise(-1)).alias("v")
     )
-    listed = [r.b for r in df.select("v", magnitude_bucket(F.col("v")).alias("b")).orderBy("v").collect()]
+    listed = [r.b for r in df.select("v", magnitude_bucket("v").alias("b")).orderBy("v").collect()]
     assert listed == sorted(listed)
 
 
