@@ -31,6 +31,8 @@ HEADLINE = (
     "exp_suite_task_instances",
     "test_unique",
 )
+#: These read workflow runs only; the others read task runs, three times as many.
+ON_RUNS = ("dag_runtime_metrics", "dag_failure_rates", "dq_run_all", "exp_suite_task_instances", "test_unique")
 
 
 def main() -> None:
@@ -63,6 +65,10 @@ def main() -> None:
         "queries": medians,
         "sf": os.path.basename(os.path.normpath(sf_dir)).removeprefix("sf"),
         "input_rows": {"dag_runs": rows, "task_instances": 3 * rows},
+        "input_rows_per_sec": {
+            name: round(rows * (1 if name in ON_RUNS else 3) / seconds)
+            for name, seconds in medians.items()
+        },
         "cpus": int(cpus),
         "runs": runs,
     }

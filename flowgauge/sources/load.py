@@ -59,7 +59,9 @@ def load(
     refresh, and a task that is run again after its commit repeats its rows
     there; tables of the catalog have neither limit.
 
-    Rows are counted while they are written; the extract runs once.
+    A window leaves a few rows in each split of a large source, so the rows are
+    evened out into well-sized files first; every later scan gains from that.
+    They are counted in the writing tasks, and the extract runs once.
     """
     spark = df.sparkSession
     if if_exists != "refresh" and if_exists not in WRITE_MODES:
@@ -71,7 +73,7 @@ def load(
         return 0
     day = load_date or datetime.now(timezone.utc).date()
     counter = Observation()
-    counted = df.observe(counter, F.count(F.lit(1)).alias("rows"))
+    counted = df.hint("rebalance").observe(counter, F.count(F.lit(1)).alias("rows"))
     if isinstance(target, JdbcSource):
         write_jdbc(counted, target, WRITE_MODES[if_exists])
         return counter.get["rows"]
