@@ -105,3 +105,12 @@ def build_models(
         else:
             frame(name).createOrReplaceTempView(name)
     return chosen
+
+
+def stored_relations(spark: SparkSession, database: str = "default") -> dict[str, DataFrame]:
+    """The raw tables and all models as last built, e.g. for ``quality.run_model_tests``."""
+    raw = ["dag_runs", "task_instances"]
+    return {
+        name: spark.table(f"{database}.{name}" if name in raw or MODELS[name].stored else name)
+        for name in [*raw, *MODELS]
+    }

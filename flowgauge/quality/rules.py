@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +24,10 @@ from flowgauge.schemas import CHECK_RESULT, MAX_AGE_HOURS
 _NTZ = T.TimestampNTZType()
 
 
+def _is_text(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, T.StringType)
+
+
 @dataclass(frozen=True, kw_only=True)
 class Rule:
     """Base of all rules; ``name`` overrides the generated check name."""
@@ -120,7 +125,7 @@ class FreshWithin(Rule):
     def measures(self, df):
         newest = F.max(self.column)
         dtype = df.schema[self.column].dataType
-        is_text = isinstance(dtype, T.StringType)
+        is_text = _is_text(df, self.column)
         moment = parse_timestamp(newest) if is_text else newest
         as_of = time_literal(self.as_of, _NTZ if is_text else dtype)
         return [F.count(F.lit(1)), F.count(self.column), age_hours(moment, as_of)]
@@ -155,14 +160,15 @@ class ValueRule(Rule):
     def reads(self):
         return (self.column,)
 
-    def judged(self) -> Column:
+    def judged(self, df: DataFrame) -> Column:
         return F.col(self.column).isNotNull()
 
-    def broken(self) -> Column:
+    def broken(self, df: DataFrame) -> Column:
         raise NotImplementedError
 
     def measures(self, df):
-        return [F.count_if(self.judged()), F.count_if(self.judged() & self.broken())]
+        judged = self.judged(df)
+        return [F.count_if(judged), F.count_if(judged & self.broken(df))]
 
     def verdict(self, judged, broken):
         share = F.try_divide((judged - broken).cast("double"), judged.cast("double"))
@@ -180,10 +186,10 @@ class ValueRule(Rule):
 class NotNull(ValueRule):
     kind = "not_null"
 
-    def judged(self):
+    def judged(self, df):
         return F.lit(True)
 
-    def broken(self):
+    def broken(self, df):
         return F.col(self.column).isNull()
 
 
@@ -192,30 +198,35 @@ class InSet(ValueRule):
     kind = "in_set"
     values: tuple[str, ...]
 
-    def broken(self):
-        return ~F.col(self.column).isin(*self.values)
+    def broken(self, df):
+        return ~F.col(self.column).cast("string").isin(*self.values)
 
 
 @dataclass(frozen=True, kw_only=True)
 class Between(ValueRule):
-    """Inclusive bounds; leave one out for an open side."""
+    """Inclusive bounds; leave one out for an open side.  Text that is no number breaks the rule."""
 
     kind = "between"
     min_value: float | None = None
     max_value: float | None = None
 
-    def broken(self):
-        outside = F.lit(False)
+    def broken(self, df):
+        is_text = _is_text(df, self.column)
+        number = F.col(self.column).try_cast("double") if is_text else F.col(self.column)
+        outside = number.isNull()
         if self.min_value is not None:
-            outside |= F.col(self.column) < self.min_value
+            outside |= number < self.min_value
         if self.max_value is not None:
-            outside |= F.col(self.column) > self.max_value
+            outside |= number > self.max_value
         return outside
 
 
 @dataclass(frozen=True, kw_only=True)
 class PairOrder(ValueRule):
-    """``column`` is greater than ``other``, or equal with ``or_equal``."""
+    """``column`` is greater than ``other``, or equal with ``or_equal``.
+
+    Text is read as timestamps; text that is none breaks the rule.
+    """
 
     kind = "pair_order"
     other: str
@@ -225,12 +236,16 @@ class PairOrder(ValueRule):
     def reads(self):
         return (self.column, self.other)
 
-    def judged(self):
+    def judged(self, df):
         return F.col(self.column).isNotNull() & F.col(self.other).isNotNull()
 
-    def broken(self):
-        a, b = F.col(self.column), F.col(self.other)
-        return a < b if self.or_equal else a <= b
+    def broken(self, df):
+        a, b = (
+            parse_timestamp(F.col(name)) if _is_text(df, name) else F.col(name)
+            for name in self.reads
+        )
+        kept = a >= b if self.or_equal else a > b
+        return ~F.coalesce(kept, F.lit(False))
 
 
 @dataclass(frozen=True, kw_only=True)
@@ -295,8 +310,8 @@ def failed_result(df: DataFrame, rule: Rule, suite: str, table: str, text: str)
 def run_rules(df: DataFrame, rules: Sequence[Rule], suite: str, table: str) -> DataFrame:
     """Result rows (``schemas.CHECK_RESULT``) of all rules, lazily.
 
-    A rule on a column the table lacks becomes a failed row with an error; the
-    others run as usual.
+    A rule that does not fit the table (a column is missing or of the wrong type)
+    becomes a failed row with an error; the others run as usual.
     """
     return run_rule_sets(df, {suite: rules}, table)
 
@@ -304,17 +319,24 @@ def run_rules(df: DataFrame, rules: Sequence[Rule], suite: str, table: str) -> D
 def run_rule_sets(df: DataFrame, rule_sets: Mapping[str, Sequence[Rule]], table: str) -> DataFrame:
     """``run_rules`` for several suites on one table, still in a single scan."""
 
-    def missing(rule: Rule) -> list[str]:
-        return [name for name in rule.reads if name not in df.columns]
+    def misfit(rule: Rule) -> str | None:
+        """Why the rule cannot be put to this table; found by analysis, nothing runs."""
+        absent = [name for name in rule.reads if name not in df.columns]
+        if absent:
+            return f"column not found: {', '.join(absent)}"
+        try:
+            source = rule.tallied(df) if isinstance(rule, Unique) else df
+            source.agg(*rule.measures(source)).schema
+        except AnalysisException as problem:
+            return str(problem).splitlines()[0]
+        return None
 
     def compiled(source: DataFrame, chosen: Sequence[tuple[str, Rule]]) -> DataFrame:
         figures: list[Column] = []
         rows: list[Column] = []
         for number, (suite, rule) in enumerate(chosen):
-            absent = missing(rule)
-            if absent:
-                text = f"column not found: {', '.join(absent)}"
-                rows.append(_result(rule, suite, table, _failure(text)))
+            if rule in misfits:
+                rows.append(_result(rule, suite, table, _failure(misfits[rule])))
                 continue
             measured = rule.measures(source)
             names = [f"m{number}_{part}" for part in range(len(measured))]
@@ -325,7 +347,8 @@ def run_rule_sets(df: DataFrame, rule_sets: Mapping[str, Sequence[Rule]], table:
         return source.agg(*figures).select(F.inline(F.array(*rows)))
 
     labelled = [(suite, rule) for suite, rules in rule_sets.items() for rule in rules]
-    lone = [pair for pair in labelled if isinstance(pair[1], Unique) and not missing(pair[1])]
+    misfits = {rule: why for _, rule in labelled if (why := misfit(rule))}
+    lone = [pair for pair in labelled if isinstance(pair[1], Unique) and pair[1] not in misfits]
     shared = [pair for pair in labelled if pair not in lone]
     parts = [compiled(df, shared)] if shared else []
     parts += [compiled(rule.tallied(df), [(suite, rule)]) for suite, rule in lone]

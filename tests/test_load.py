@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowgauge.plans.models import MODELS, build_models, selected_models
+from flowgauge.plans.models import MODELS, build_models, selected_models, stored_relations
 from flowgauge.plans.pipeline import QualityError, run_pipeline
+from flowgauge.quality import run_model_tests
 from flowgauge.quality.checks import table_exists
 from flowgauge.schemas import DAG_RUNS, LOAD_DATE, TASK_INSTANCES
 from flowgauge.sources import (
@@ -204,6 +205,10 @@ def test_pipeline_end_to_end(spark, make_runs, make_tasks, database):
     assert result.all_passed and (result.passed_count, result.total_count) == (20, 20)
     assert spark.table(f"{database}.slowest_tasks").first().total_executions == 5
 
+    tests = run_model_tests(stored_relations(spark, database))
+    assert tests.count() == 27
+    assert [r.check_name for r in tests.where("not passed").collect()] == ["unique_stg_dag_runs_dag_id"]
+
 
 def test_pipeline_warns_or_raises(spark, make_runs, make_tasks, database, caplog):
     bad = days(make_tasks).withColumn("try_number", F.lit(0))

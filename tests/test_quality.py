@@ -85,6 +85,31 @@ def test_missing_column_fails_alone(make_runs):
     assert not only(make_runs({}), NotNull(column="nope")).passed
 
 
+def test_rule_of_the_wrong_type_fails_alone(make_runs):
+    rows = check(
+        make_runs({}),
+        FreshWithin(column="duration", as_of=NOW),
+        Between(column="extracted_at", min_value=0),
+        NotNull(column="dag_id"),
+    )
+    assert rows["not_null_t_dag_id"].passed
+    for name in ("freshness_check_t_duration", "between_t_extracted_at"):
+        assert not rows[name].passed and "DATATYPE_MISMATCH" in rows[name].error
+
+
+def test_text_columns_are_parsed(make_runs):
+    text = make_runs({}, {}, {}).selectExpr(
+        "explode(array(named_struct('n', '7', 'a', '2024-01-02', 'b', '2024-01-01 23:00:00'),"
+        "named_struct('n', '-1', 'a', '2024-01-02', 'b', '2024-01-03'),"
+        "named_struct('n', 'x', 'a', 'soon', 'b', '2024-01-01'),"
+        "named_struct('n', null, 'a', null, 'b', '2024-01-01'))) as r"
+    ).select("r.*")
+    number = only(text, Between(column="n", min_value=0))
+    assert (number.evaluated, number.failed) == (9, 6)
+    pair = only(text, PairOrder(column="a", other="b"))
+    assert (pair.evaluated, pair.failed) == (9, 6)
+
+
 @pytest.mark.parametrize(
     "rule, evaluated, failed",
     [
