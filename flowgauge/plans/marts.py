@@ -117,27 +117,29 @@ def slowest_tasks(tasks: DataFrame, k: int = TOP_SLOWEST) -> DataFrame:
     """The ``k`` tasks with the longest mean runtime.
 
     The ranks are over all tasks, so the totals of every task are ranked by
-    their maximum first (distributed, see ``global_row_number``).  The rank by
-    mean is the place in the top list itself.  Percentiles need the single
-    runs, and are computed only for the ``k`` tasks that are reported.
+    their maximum first (distributed, see ``global_row_number``, which runs and
+    checkpoints that step).  The rank by mean is the place in the top list
+    itself.  Percentiles need the single runs, and are computed only for the
+    ``k`` tasks that are reported; their runs travel under the place number, not
+    under two names.
     """
     by_max = global_row_number(
         task_totals(tasks), slowest_first("max_duration_seconds"), "rank_by_max_duration"
     )
-    best = top_k(by_max, slowest_first("avg_duration_seconds"), k, "rank_by_avg_duration")
-    names = best.select(F.struct("dag_id", "task_id").alias("_task"))
+    place = "rank_by_avg_duration"
+    best = top_k(by_max, slowest_first("avg_duration_seconds"), k, place)
+    task = F.struct("dag_id", "task_id").alias("_task")  # equal by field, NULL included
+    places = best.select(task, place)
     if k <= BROADCAST_ROWS:
-        names = F.broadcast(names)
-    runs = timed(tasks).withColumn("_task", F.struct("dag_id", "task_id"))
+        places = F.broadcast(places)
     p95 = grouped_percentiles(
-        runs.join(names, "_task", "left_semi"),
-        keys=["_task"],
+        timed(tasks).select(task, DURATION).join(places, "_task"),
+        keys=[place],
         value=DURATION,
         quantiles={"p95_duration_seconds": 0.95},
     )
     return (
-        best.withColumn("_task", F.struct("dag_id", "task_id"))
-        .join(p95, "_task", "left")
+        best.join(p95, place)
         .select(
             "dag_id",
             "task_id",

@@ -19,6 +19,7 @@ from flowgauge.quality.suites import (
     dag_runs_suite,
     run_suite,
     statistics,
+    suite_dict,
     suite_from_rows,
     suite_rows,
     task_instances_suite,
@@ -43,6 +44,7 @@ __all__ = [
     "run_suite",
     "standard_checks",
     "statistics",
+    "suite_dict",
     "suite_from_rows",
     "suite_rows",
     "summarize",

@@ -73,6 +73,11 @@ def rule_dict(rule: Rule) -> dict:
     return {"kind": rule.kind, **{k: v for k, v in asdict(rule).items() if v is not None}}
 
 
+def suite_dict(suite: Suite) -> dict:
+    """The suite as plain data, ready for JSON."""
+    return {"suite": suite.name, "table_name": suite.table, "rules": [*map(rule_dict, suite.rules)]}
+
+
 def suite_rows(suite: Suite) -> list[dict]:
     """The suite as table rows (suite, table_name, position, check_name, rule)."""
     return [
@@ -92,8 +97,8 @@ RULES_TABLE = "suite string, table_name string, position int, check_name string,
 
 def suite_from_rows(rows: Iterable[Mapping]) -> Suite:
     """The suite stored by ``suite_rows``; accepts dicts or the rows of a rules table."""
-    ordered = sorted((row if isinstance(row, dict) else row.asDict() for row in rows),
-                     key=lambda row: row["position"])
+    plain = [row if isinstance(row, dict) else row.asDict() for row in rows]
+    ordered = sorted(plain, key=lambda row: row["position"])
     rules = []
     for row in ordered:
         settings = json.loads(row["rule"])

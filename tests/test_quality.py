@@ -20,6 +20,7 @@ from flowgauge.quality import (
     run_standard_checks,
     run_suite,
     statistics,
+    suite_dict,
     suite_from_rows,
     suite_rows,
     summarize,
@@ -202,6 +203,16 @@ def test_suite_survives_a_table(spark):
         assert suite_from_rows(suite_rows(suite)) == suite
 
 
+def test_suite_as_plain_data():
+    import json
+
+    plain = json.loads(json.dumps(suite_dict(task_instances_suite())))
+    assert plain["suite"] == "task_instances_suite" and len(plain["rules"]) == 7
+    tries = next(rule for rule in plain["rules"] if rule["column"] == "try_number")
+    assert tries["kind"] == "between" and tries["min_value"] == 1 and tries["mostly"] == 1.0
+    assert tries["note"]
+
+
 def test_statistics(make_runs):
     results = run_suite(make_runs({"dag_id": None, "duration": -1.0}), dag_runs_suite())
     assert tuple(statistics(results).first()) == ("dag_runs_suite", False, 5, 3, 2, 60.0)
