@@ -11,18 +11,10 @@ from pyspark.sql import functions as F
 
 from contract import fixtures
 from flowgauge import functions as fx
-from flowgauge.operators import (
-    distinct_tasks,
-    global_row_number,
-    grouped_percentiles,
-    join_thresholds,
-    rolling_mean,
-    sla_thresholds,
-    top_k,
-)
-from flowgauge.plans import marts
+from flowgauge import operators as ops
+from flowgauge.plans import marts, staging
 from flowgauge.plans.models import model_frames
-from flowgauge.plans.staging import stg_dag_runs, stg_task_instances, timed
+from flowgauge.plans.staging import timed
 from flowgauge.quality import (
     Between,
     FreshWithin,
@@ -63,11 +55,11 @@ def query(build: Query) -> Query:
 
 
 def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stg_dag_runs(fixtures.dag_runs(spark, sf_dir))
+    return staging.stg_dag_runs(fixtures.dag_runs(spark, sf_dir))
 
 
 def _tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stg_task_instances(fixtures.task_instances(spark, sf_dir))
+    return staging.stg_task_instances(fixtures.task_instances(spark, sf_dir))
 
 
 def _daily(df: DataFrame) -> DataFrame:
@@ -176,16 +168,13 @@ def expr_parse_timestamp(spark, sf_dir):
 
 
 @query
-def join_thresholds_query(spark, sf_dir):
+def join_thresholds(spark, sf_dir):
     tasks = _tasks(spark, sf_dir)
-    return join_thresholds(tasks, sla_thresholds(tasks)).select(
+    return ops.join_thresholds(tasks, ops.sla_thresholds(tasks)).select(
         "dag_id", "task_id", "execution_date", "calculated_duration", "sla_threshold_seconds"
     )
 
 
-QUERIES["join_thresholds"] = QUERIES.pop("join_thresholds_query")
-
-
 @query
 def agg_count(spark, sf_dir):
     return _daily(_runs(spark, sf_dir)).groupBy("dag_id", "execution_day").agg(
@@ -227,7 +216,7 @@ def agg_sum(spark, sf_dir):
 
 @query
 def agg_percentile_cont(spark, sf_dir):
-    return grouped_percentiles(
+    return ops.grouped_percentiles(
         _tasks(spark, sf_dir),
         keys=["dag_id", "task_id"],
         value="calculated_duration",
@@ -243,11 +232,8 @@ def agg_max_timestamp(spark, sf_dir):
 
 
 @query
-def distinct_tasks_query(spark, sf_dir):
-    return distinct_tasks(_tasks(spark, sf_dir))
-
-
-QUERIES["distinct_tasks"] = QUERIES.pop("distinct_tasks_query")
+def distinct_tasks(spark, sf_dir):
+    return ops.distinct_tasks(_tasks(spark, sf_dir))
 
 
 def _rolling(spark, sf_dir, rows: int, name: str) -> DataFrame:
@@ -255,7 +241,7 @@ def _rolling(spark, sf_dir, rows: int, name: str) -> DataFrame:
         "dag_id",
         "execution_day",
         F.col("failure_rate_percent").cast("double").alias("failure_rate_percent"),
-        rolling_mean("failure_rate_percent", rows).alias(name),
+        ops.rolling_mean("failure_rate_percent", rows).alias(name),
     )
 
 
@@ -271,7 +257,7 @@ def win_rolling_30(spark, sf_dir):
 
 def _ranked(spark, sf_dir, column: str, name: str) -> DataFrame:
     totals = marts.task_totals(_tasks(spark, sf_dir)).select("dag_id", "task_id", column)
-    return global_row_number(totals, marts.slowest_first(column), name)
+    return ops.global_row_number(totals, marts.slowest_first(column), name)
 
 
 @query
@@ -294,7 +280,7 @@ def sort_multi_key(spark, sf_dir):
 @query
 def top_k_slowest(spark, sf_dir):
     totals = marts.task_totals(_tasks(spark, sf_dir))
-    slowest = top_k(totals, marts.slowest_first("avg_duration_seconds"), 10)
+    slowest = ops.top_k(totals, marts.slowest_first("avg_duration_seconds"), 10)
     return slowest.select("dag_id", "task_id", "avg_duration_seconds")
 
 
@@ -319,21 +305,15 @@ def union_all_sla(spark, sf_dir):
 
 
 @query
-def stg_dag_runs_model(spark, sf_dir):
+def stg_dag_runs(spark, sf_dir):
     return _runs(spark, sf_dir)
 
 
-QUERIES["stg_dag_runs"] = QUERIES.pop("stg_dag_runs_model")
-
-
 @query
-def stg_task_instances_model(spark, sf_dir):
+def stg_task_instances(spark, sf_dir):
     return _tasks(spark, sf_dir)
 
 
-QUERIES["stg_task_instances"] = QUERIES.pop("stg_task_instances_model")
-
-
 @query
 def dag_runtime_metrics(spark, sf_dir):
     return marts.dag_runtime_metrics(_runs(spark, sf_dir))
@@ -355,11 +335,8 @@ def sla_misses(spark, sf_dir):
 
 
 @query
-def sla_thresholds_query(spark, sf_dir):
-    return sla_thresholds(_tasks(spark, sf_dir))
-
-
-QUERIES["sla_thresholds"] = QUERIES.pop("sla_thresholds_query")
+def sla_thresholds(spark, sf_dir):
+    return ops.sla_thresholds(_tasks(spark, sf_dir))
 
 
 @query
@@ -529,7 +506,7 @@ def test_accepted_values(spark, sf_dir):
 
 @query
 def test_accepted_range(spark, sf_dir):
-    staged = stg_task_instances(fixtures.dirty_rows(spark, sf_dir))
+    staged = staging.stg_task_instances(fixtures.dirty_rows(spark, sf_dir))
     rules = [
         accepted_range("calculated_duration", 0),
         Between(column="calculated_duration", min_value=0, max_value=3600, name="one_hour"),

@@ -47,6 +47,7 @@ def load(
     target: str | JdbcSource,
     if_exists: str = "append",
     load_date: date | None = None,
+    even_out: bool = False,
 ) -> int:
     """Write an extract to a table and return the number of rows written.
 
@@ -59,9 +60,11 @@ def load(
     refresh, and a task that is run again after its commit repeats its rows
     there; tables of the catalog have neither limit.
 
-    A window leaves a few rows in each split of a large source, so the rows are
-    evened out into well-sized files first; every later scan gains from that.
-    They are counted in the writing tasks, and the extract runs once.
+    ``even_out`` shuffles the rows into well-sized files first.  A window leaves
+    only a few rows in each split of a large source, and every later scan would
+    pay for the small files; a full copy has full splits and does without.
+
+    Rows are counted in the writing tasks, so the extract runs once.
     """
     spark = df.sparkSession
     if if_exists != "refresh" and if_exists not in WRITE_MODES:
@@ -73,7 +76,8 @@ def load(
         return 0
     day = load_date or datetime.now(timezone.utc).date()
     counter = Observation()
-    counted = df.hint("rebalance").observe(counter, F.count(F.lit(1)).alias("rows"))
+    sized = df.hint("rebalance") if even_out else df
+    counted = sized.observe(counter, F.count(F.lit(1)).alias("rows"))
     if isinstance(target, JdbcSource):
         write_jdbc(counted, target, WRITE_MODES[if_exists])
         return counter.get["rows"]
@@ -110,6 +114,7 @@ def extract_and_load(
     even if that broke off between the two tables.  Loads more often than daily
     share a load date: give ``if_exists='append'`` to add rows instead.
     """
+    windowed = start is not None or end is not None
     stamp = end or as_of
     load_date = stamp.date() if stamp else None
     extracts = {
@@ -117,6 +122,6 @@ def extract_and_load(
         "task_instances": extract_task_instances(spark, tasks_source, start, end, as_of),
     }
     return {
-        f"{name}_count": load(df, f"{database}.{name}", if_exists, load_date)
+        f"{name}_count": load(df, f"{database}.{name}", if_exists, load_date, even_out=windowed)
         for name, df in extracts.items()
     }

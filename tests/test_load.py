@@ -116,6 +116,15 @@ def test_refresh_twice_equals_once(spark, make_runs, database):
     assert spark.table(table).columns == [*DAG_RUNS.names, "load_date"]
 
 
+def test_windows_are_written_in_few_files(spark, make_runs, database):
+    """One row survives in each of many splits; they end up together."""
+    runs = days(make_runs).repartition(13)
+    for name, even_out in (("spread", False), ("even", True)):
+        assert load(runs, f"{database}.{name}", "refresh", date(2024, 1, 10), even_out) == 13
+    assert len(spark.table(f"{database}.even").inputFiles()) == 1
+    assert len(spark.table(f"{database}.spread").inputFiles()) > 1
+
+
 def test_write_modes(spark, make_runs, database):
     table = f"{database}.dag_runs"
     runs = make_runs(at(0), at(1))
