@@ -87,6 +87,8 @@ TASK_INSTANCES = T.StructType(
 
 LOAD_DATE = _field("load_date", T.DateType(), "day of the load that wrote the row; partition column")
 
+LOAD_ID = _field("load_id", T.StringType(), "window of the load that wrote the row; partition column")
+
 CHECK_RESULT = T.StructType(
     [
         _field("suite", T.StringType(), "group of checks this one ran in"),

@@ -16,6 +16,8 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
+    # Checkpoint files go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # One daily run compiles more than the default 100 pieces of code.
     "spark.sql.codegen.cache.maxEntries": "2000",
     # Recording the Python call site of every column expression costs more than

@@ -36,6 +36,12 @@ def incremental_window(
     return df
 
 
+def _plain_times(df: DataFrame) -> DataFrame:
+    """Instants as plain times of the session's zone, which is how raw history is stored."""
+    instants = [f.name for f in df.schema if isinstance(f.dataType, T.TimestampType)]
+    return df.withColumns({name: F.col(name).cast("timestamp_ntz") for name in instants})
+
+
 def _load_time(as_of: datetime | None) -> Column:
     """One load time for the whole extract: given, or the time the query starts."""
     if as_of is None:
@@ -53,7 +59,7 @@ def extract_dag_runs(
     """Runs scheduled in the window, with their duration and the load time."""
     raw = scan(spark, source, RUN_SOURCE, start, end).select(*RUN_SOURCE.names)
     return (
-        incremental_window(raw, start, end)
+        _plain_times(incremental_window(raw, start, end))
         .withColumn("duration", run_duration(F.col("start_date"), F.col("end_date")))
         .withColumn("extracted_at", _load_time(as_of))
     )
@@ -68,4 +74,5 @@ def extract_task_instances(
 ) -> DataFrame:
     """Task runs scheduled in the window; their duration is the source's own."""
     raw = scan(spark, source, TASK_SOURCE, start, end).select(*TASK_SOURCE.names)
-    return incremental_window(raw, start, end).withColumn("extracted_at", _load_time(as_of))
+    windowed = _plain_times(incremental_window(raw, start, end))
+    return windowed.withColumn("extracted_at", _load_time(as_of))

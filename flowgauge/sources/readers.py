@@ -18,6 +18,10 @@ class JdbcSource:
     Without bounds Spark would read the table in a single task, so a read needs
     them: either a load window or ``lower`` and ``upper``.  Bounds only place
     the slices; rows outside them are still read.
+
+    Spark slices by dates and instants only, so times without zone are read as
+    instants, with the session and the JVM in UTC; the extracts turn them back
+    into plain times after the window filter, which the database then gets.
     """
 
     url: str
@@ -49,7 +53,6 @@ class JdbcSource:
             "upperBound": upper.isoformat(sep=" "),
             "numPartitions": str(self.partitions),
             "fetchsize": str(self.fetch_rows),
-            "preferTimestampNTZ": "true",
             "pushDownPredicate": "true",
         }
 

@@ -75,6 +75,41 @@ def test_scan_reads_paths_and_tables(spark, make_runs, tmp_path, database):
         assert scan(spark, source, DAG_RUNS).count() == 2
 
 
+def test_spark_can_slice_a_database_read(spark):
+    """Spark's own planning of the slices, on the schema that a time column is read as; no database runs."""
+    options = JdbcSource("jdbc:postgresql://host/db", "t", partitions=4).read_options(*load_window(T0))
+    jvm = spark.sparkContext._jvm
+    pairs = jvm.java.util.HashMap()
+    for key, value in {**options, "driver": "java.lang.Object"}.items():  # a class that needs no loading
+        pairs.put(key, value)
+    jdbc = jvm.org.apache.spark.sql.execution.datasources.jdbc
+    given = jdbc.JDBCOptions(jvm.PythonUtils.toScalaMap(pairs))
+    resolver = spark._jsparkSession.sessionState().conf().resolver()
+
+    def slices(kind):
+        schema = T.StructType([T.StructField("execution_date", kind)]).json()
+        parsed = jvm.org.apache.spark.sql.types.DataType.fromJson(schema)
+        return [p.whereClause() for p in jdbc.JDBCRelation.columnPartition(parsed, resolver, "UTC", given)]
+
+    # With this option a column without zone would come as a type that Spark cannot slice.
+    assert "preferTimestampNTZ" not in options
+    with pytest.raises(Exception, match="timestamp_ntz"):
+        slices(T.TimestampNTZType())
+    clauses = slices(T.TimestampType())
+    assert len(clauses) == 4
+    assert "2024-01-09 08:00:00" in clauses[0] and "2024-01-09 20:00:00" in clauses[3]
+
+
+def test_instants_are_stored_as_plain_times(spark, make_runs):
+    """What a database read gives; the window filter is on the column as it comes."""
+    raw = make_runs(at(-1), at(0)).withColumns({c: F.col(c).cast("timestamp") for c in ("execution_date", "start_date", "end_date")})
+    out = extract_dag_runs(spark, raw, T0, T0, as_of=T0)
+    assert out.schema == extract_dag_runs(spark, make_runs(at(0)), T0, T0, as_of=T0).schema or all(
+        f.dataType == DAG_RUNS[f.name].dataType for f in out.schema
+    )
+    assert [r.execution_date for r in out.collect()] == [T0]
+
+
 def test_jdbc_options_slice_the_window():
     """Options only: no database runs here."""
     source = JdbcSource("jdbc:postgresql://host/db", "task_instance", user="u", password="p", partitions=8)
@@ -113,7 +148,46 @@ def test_refresh_twice_equals_once(spark, make_runs, database):
         assert load(first, table, "refresh", date(2024, 1, 10)) == 2
         assert load(second, table, "refresh", date(2024, 1, 11)) == 1
     assert spark.table(table).count() == 3
-    assert spark.table(table).columns == [*DAG_RUNS.names, "load_date"]
+    assert spark.table(table).columns == [*DAG_RUNS.names, "load_date", "load_id"]
+
+
+def test_loads_of_one_day_do_not_touch_each_other(spark, sf_dir, database):
+    from contract import fixtures
+
+    history = fixtures.dag_runs(spark, "/root/testdata/sf0.01")
+    windows = [(datetime(2024, 1, 9, 2), datetime(2024, 1, 10, 2)), (datetime(2024, 1, 9, 14), datetime(2024, 1, 10, 14))]
+    wanted = history.where("execution_date between '2024-01-09 02:00' and '2024-01-10 14:00'").count()
+    for _ in range(2):
+        for window in windows:
+            extract_and_load(spark, history, fixtures.task_instances(spark, sf_dir), *window, as_of=window[1], database=database)
+    loaded = spark.table(f"{database}.dag_runs")
+    assert loaded.select("load_date").distinct().count() == 1 and loaded.select("load_id").distinct().count() == 2
+    key = ["dag_id", "execution_date", "state", "start_date", "end_date"]
+    assert loaded.select(*key).distinct().count() == history.select(*key).where(
+        "execution_date between '2024-01-09 02:00' and '2024-01-10 14:00'"
+    ).distinct().count()
+    assert loaded.where("load_id like '20240109T02%'").count() + loaded.where(
+        "load_id like '20240109T14%' and execution_date > '2024-01-10 02:00'"
+    ).count() == wanted
+
+
+def test_a_wide_backfill_stands_beside_daily_loads(spark, make_runs, make_tasks, database):
+    for window in (load_window(T0), load_window(T0 + timedelta(days=1)), (T0 - timedelta(days=5), T0 + timedelta(days=1))):
+        extract_and_load(spark, days(make_runs), days(make_tasks), *window, as_of=window[1], database=database)
+    loaded = spark.table(f"{database}.dag_runs")
+    assert loaded.count() == 5 + 5 + 9
+    from flowgauge.plans.staging import stg_dag_runs, stg_task_instances
+
+    assert stg_dag_runs(loaded).count() == 19 and stg_dag_runs(loaded, dedupe=True).count() == 9
+    assert stg_task_instances(spark.table(f"{database}.task_instances"), dedupe=True).count() == 9
+
+
+def test_an_empty_repeat_leaves_nothing_of_its_window(spark, make_runs, database):
+    table = f"{database}.dag_runs"
+    load(make_runs(at(0)), table, "refresh", date(2024, 1, 10), load_id="a")
+    load(make_runs(at(1)), table, "refresh", date(2024, 1, 10), load_id="b")
+    assert load(make_runs(at(0)).where("false"), table, "refresh", date(2024, 1, 10), load_id="a") == 0
+    assert [r.load_id for r in spark.table(table).collect()] == ["b"]
 
 
 def test_windows_are_written_in_few_files(spark, make_runs, database):
@@ -141,7 +215,7 @@ def test_empty_extract_is_skipped(spark, make_runs, database):
     table = f"{database}.dag_runs"
     load(make_runs(at(0)), table)
     for mode in ("append", "replace", "refresh"):
-        assert load(make_runs(at(0)).where("false"), table, mode) == 0
+        assert load(make_runs(at(0)).where("false"), table, mode, load_id="other") == 0
     assert spark.table(table).count() == 1
     assert load(make_runs(at(0)).where("false"), f"{database}.never") == 0
     assert not table_exists(spark, f"{database}.never")
@@ -157,6 +231,16 @@ def test_tables_carry_descriptions(spark, database):
     assert not ensure_table(spark, "no_such_database.t", T.StructType([]))
 
 
+@pytest.mark.parametrize("mode", ["append", "replace", "fail", "refresh"])
+def test_every_mode_keeps_the_description(spark, make_runs, database, mode):
+    table = f"{database}.dag_runs"
+    assert load(make_runs(at(0)), table, mode) == 1
+    assert spark.catalog.getTable(table).description == "copied history of workflow runs"
+    if mode != "fail":
+        load(make_runs(at(0)), table, mode)
+        assert spark.catalog.getTable(table).description == "copied history of workflow runs"
+
+
 def days(make, per_day=4):
     """Rows every six hours, so that each window has rows on both of its bounds."""
     ends = {"start_date": T0, "end_date": T0 + timedelta(seconds=30), "duration": 30.0}
@@ -213,6 +297,8 @@ def test_pipeline_end_to_end(spark, make_runs, make_tasks, database):
     assert result.counts == {"dag_runs_count": 5, "task_instances_count": 5}
     assert result.all_passed and (result.passed_count, result.total_count) == (20, 20)
     assert spark.table(f"{database}.slowest_tasks").first().total_executions == 5
+    assert result.tests.count() == 27
+    assert [r.check_name for r in result.tests.where("not passed").collect()] == ["unique_stg_dag_runs_dag_id"]
 
     tests = run_model_tests(stored_relations(spark, database))
     assert tests.count() == 27
@@ -241,3 +327,45 @@ def test_pipeline_without_data(spark, make_runs, make_tasks, database):
 def test_pipeline_errors_surface(spark, make_runs, database):
     with pytest.raises(Exception):
         run_pipeline(spark, days(make_runs), "no_such_table", T0, database=database)
+
+
+def test_a_backfill_is_judged_by_the_clock_that_stamps_it(spark, make_runs, make_tasks, database):
+    """Rows loaded now are fresh now, though their window is long past; rows stamped long ago are not."""
+    result = run_pipeline(spark, days(make_runs), days(make_tasks), T0, database=database)
+    ages = [r.observed for r in result.checks.where("check_type = 'freshness_check'").collect()]
+    assert all(-0.01 <= age < 1 for age in ages)
+
+
+def test_one_rule_that_fails_at_run_time_leaves_the_others(spark, make_runs):
+    from flowgauge.quality import NotNull, RowCount
+    from flowgauge.quality.rules import settled
+
+    runs = make_runs(at(0, state="x"), at(1, state="7")).withColumn("broken", F.col("state").cast("int"))
+    rows = settled(runs, {"s": [RowCount(min_rows=1), NotNull(column="broken"), NotNull(column="dag_id")]}, "t").collect()
+    assert [(r.check_type, r.passed, r.error is None) for r in rows] == [
+        ("row_count", True, True), ("not_null", False, False), ("not_null", True, True)
+    ]
+    assert "CAST_INVALID_INPUT" in rows[1].message
+
+
+def test_checkpoint_files_go_away(spark, make_tasks):
+    import gc
+    import pathlib
+    import time
+
+    from flowgauge.operators import global_row_number
+
+    folder = pathlib.Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    before = set(folder.glob("rdd-*"))
+    ranked = global_row_number(days(make_tasks), [F.asc("execution_date"), F.asc("task_id")], "r")
+    ranked.count()
+    made = set(folder.glob("rdd-*")) - before
+    assert made
+    del ranked
+    for _ in range(40):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        if not any(path.exists() for path in made):
+            break
+        time.sleep(0.5)
+    assert not any(path.exists() for path in made)
