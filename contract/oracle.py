@@ -6,8 +6,32 @@ divides numerics as doubles.
 
 from __future__ import annotations
 
-from flowgauge.quality.suites import dag_runs_suite, suite_rows
-from flowgauge.schemas import CHECK_RESULT, RUN_STATES, TASK_STATES
+import json
+
+# Written out here, so that a wrong state set or rule text on the other side shows.
+RUN_STATES = (
+    "success", "failed", "running", "queued", "scheduled", "skipped", "up_for_retry", "up_for_reschedule",
+    "upstream_failed", "none",
+)
+TASK_STATES = (
+    "success", "failed", "running", "queued", "scheduled", "skipped", "up_for_retry", "up_for_reschedule",
+    "upstream_failed", "removed", "restarting", "none",
+)
+RESULT_COLUMNS = {
+    "suite": "VARCHAR",
+    "check_name": "VARCHAR",
+    "check_type": "VARCHAR",
+    "table_name": "VARCHAR",
+    "column_name": "VARCHAR",
+    "passed": "BOOLEAN",
+    "evaluated": "BIGINT",
+    "failed": "BIGINT",
+    "observed": "DOUBLE",
+    "threshold": "DOUBLE",
+    "error": "VARCHAR",
+    "message": "VARCHAR",
+}
+
 
 def _percentile(q: float) -> str:
     """Interpolated percentile of the durations of a group, from the sorted values themselves.
@@ -175,9 +199,6 @@ def _sql(body: str) -> str:
 
 # --- result rows of checks ---------------------------------------------------
 
-_SQL_TYPE = {"string": "VARCHAR", "boolean": "BOOLEAN", "bigint": "BIGINT", "double": "DOUBLE"}
-
-
 def _row(source: str, suite: str, name: str, kind: str, table: str, column: str | None, **fields: str) -> str:
     """One check-result row from ``source``; fields are SQL, names are texts."""
 
@@ -195,8 +216,7 @@ def _row(source: str, suite: str, name: str, kind: str, table: str, column: str
         **fields,
     }
     columns = ", ".join(
-        f"CAST({sql.get(f.name, 'NULL')} AS {_SQL_TYPE[f.dataType.simpleString()]}) AS {f.name}"
-        for f in CHECK_RESULT
+        f"CAST({sql.get(name, 'NULL')} AS {kind}) AS {name}" for name, kind in RESULT_COLUMNS.items()
     )
     return f"SELECT {columns} FROM ({source})"
 
@@ -366,10 +386,37 @@ _TASK_SUITE = _suite(
 )
 
 
+_STORED_RULES = (
+    ("not_null_dag_runs_dag_id", {"column": "dag_id", "kind": "not_null", "mostly": 1.0, "note": "every row needs a value in dag_id"}),
+    (
+        "not_null_dag_runs_execution_date",
+        {"column": "execution_date", "kind": "not_null", "mostly": 1.0, "note": "every row needs a value in execution_date"},
+    ),
+    (
+        "in_set_dag_runs_state",
+        {
+            "column": "state", "kind": "in_set", "mostly": 1.0, "note": "only states the scheduler knows for runs",
+            "values": RUN_STATES,
+        },
+    ),
+    (
+        "between_dag_runs_duration",
+        {"column": "duration", "kind": "between", "min_value": 0, "mostly": 1.0, "note": "a known duration is never negative"},
+    ),
+    (
+        "pair_order_dag_runs_end_date_start_date",
+        {
+            "column": "end_date", "kind": "pair_order", "mostly": 1.0, "note": "work cannot stop before it starts",
+            "or_equal": True, "other": "start_date",
+        },
+    ),
+)
+
+
 def _rules_table() -> str:
     rows = ", ".join(
-        f"('{r['suite']}', '{r['check_name']}', {r['position']}, '{r['rule']}')"
-        for r in suite_rows(dag_runs_suite())
+        f"('dag_runs_suite', '{name}', {position}, '{json.dumps(rule)}')"
+        for position, (name, rule) in enumerate(_STORED_RULES)
     )
     return f"""
 SELECT rules.suite, rules.check_name, CAST(position AS INTEGER) AS position, rule, passed, evaluated, failed
@@ -513,6 +560,20 @@ SELECT entity_type, dag_id, identifier, execution_day, total_count, sla_misses F
     "dag_failure_rates": "SELECT * FROM dag_failure_rates",
     "slowest_tasks": "SELECT * FROM slowest_tasks",
     "sla_misses": "SELECT * FROM sla_misses",
+    "sla_misses_custom_thresholds": """
+, custom AS (
+  SELECT * REPLACE (CASE WHEN task_id = 'load' AND dag_id = 'adhoc_5' THEN 50
+                         WHEN task_id = 'load' AND dag_id LIKE 'adhoc%' THEN 100
+                         ELSE sla_threshold_seconds END AS sla_threshold_seconds) FROM timed_tasks)
+SELECT 'task' AS entity_type, dag_id, task_id AS identifier, execution_day, count(*) AS total_count,
+       count(*) FILTER (calculated_duration > sla_threshold_seconds) AS sla_misses,
+       count(*) FILTER (calculated_duration <= sla_threshold_seconds) AS sla_meets,
+       ((sla_misses * 20000 + total_count) // (2 * total_count)) / 100::DOUBLE AS sla_miss_rate_percent,
+       avg(calculated_duration) AS avg_duration_seconds, max(calculated_duration) AS max_duration_seconds,
+       sla_threshold_seconds
+FROM custom GROUP BY dag_id, task_id, execution_day, sla_threshold_seconds
+UNION ALL BY NAME
+SELECT 'dag' AS entity_type, CAST(NULL AS VARCHAR) AS identifier, * FROM sla_dag_daily""",
     "sla_thresholds": """
 SELECT DISTINCT dag_id, task_id,
        CASE WHEN contains(dag_id, 'critical') THEN 3600
@@ -555,6 +616,21 @@ FROM ({_standard()})""",
             message="'column not found: run_id'",
         ),
     ),
+    "dq_failing_column": _all(
+        _row_count("dirty", "dirty", 0),
+        _row(
+            "SELECT 1",
+            "adhoc",
+            "not_null_dirty_code",
+            "not_null",
+            "dirty",
+            "code",
+            passed="false",
+            error="'CAST_INVALID_INPUT'",
+            message="'CAST_INVALID_INPUT'",
+        ),
+        _not_null("dirty", "dirty", "dag_id"),
+    ),
     "exp_not_null": _all(_not_null("dirty", "dirty", "dag_id"), _not_null("dirty", "dirty", "task_id")),
     "exp_in_set": _in_set("dirty", "dirty", "state", _DIRTY_STATES),
     "exp_between": _all(

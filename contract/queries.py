@@ -36,6 +36,7 @@ from flowgauge.quality import (
     task_instances_suite,
 )
 from flowgauge.quality.model_tests import accepted_range, accepted_values, not_null
+from flowgauge.quality.rules import settled
 from flowgauge.quality.suites import RULES_TABLE
 from flowgauge.sources import extract_dag_runs, extract_task_instances
 
@@ -339,6 +340,17 @@ def sla_thresholds(spark, sf_dir):
     return ops.sla_thresholds(_tasks(spark, sf_dir))
 
 
+@query
+def sla_misses_custom_thresholds(spark, sf_dir):
+    """Limits of their own for some tasks, one of them given twice; the others keep their tier's."""
+    tasks = _tasks(spark, sf_dir)
+    own = ops.distinct_tasks(tasks).where("task_id = 'load' AND dag_id LIKE 'adhoc%'")
+    given = own.withColumn("sla_threshold_seconds", F.lit(100)).unionByName(
+        own.where("dag_id = 'adhoc_5'").withColumn("sla_threshold_seconds", F.lit(50))
+    )
+    return marts.sla_misses(_runs(spark, sf_dir), tasks, task_thresholds=given)
+
+
 @query
 def sla_task_daily(spark, sf_dir):
     return marts.sla_task_daily(_tasks(spark, sf_dir))
@@ -416,6 +428,14 @@ def dq_missing_column(spark, sf_dir):
     )
 
 
+@query
+def dq_failing_column(spark, sf_dir):
+    """One column cannot be computed at run time; the other rules report."""
+    dirty = fixtures.dirty_rows(spark, sf_dir).withColumn("code", F.col("state").cast("int"))
+    rules = [RowCount(), NotNull(column="code"), NotNull(column="dag_id")]
+    return settled(dirty, {"adhoc": rules}, "dirty")
+
+
 @query
 def exp_not_null(spark, sf_dir):
     return _on_dirty(spark, sf_dir, NotNull(column="dag_id"), NotNull(column="task_id"))

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from flowgauge.functions import sla_threshold
 from flowgauge.schemas import SlaThresholds
+from flowgauge.session import ensure_checkpoint_dir
 
 BROADCAST_ROWS = 50_000
-SALTS = 32
 
 
 def distinct_tasks(tasks: DataFrame) -> DataFrame:
@@ -30,29 +30,38 @@ def join_thresholds(
     tasks: DataFrame,
     thresholds: DataFrame,
     broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
+    salts: int | None = None,
+    how: str = "inner",
 ) -> DataFrame:
-    """Task runs with the threshold of their task; rows without one drop out.
+    """Task runs with the threshold of their task; without one they drop out, or get NULL with ``how='left'``.
 
-    ``thresholds`` has one row per (dag_id, task_id).  It is counted first, but
-    no further than ``broadcast_rows``: up to that size it is broadcast and the
-    task runs stay where they are.
+    ``thresholds`` has (dag_id, task_id, sla_threshold_seconds).  Of several rows for
+    one task the strictest counts, so that no run is counted twice.  The reduced
+    table, one row per task, is computed once and kept; it is counted, and up to
+    ``broadcast_rows`` it is broadcast and the task runs stay where they are.
 
     Beyond it the join shuffles.  One task may own a third of all runs, so runs
-    are spread over ``salts`` partitions by a hash of their times, and each
-    threshold is repeated once per salt.  The hash depends on the row alone, so
-    a task that is run again reproduces it; and because the salt is part of the
-    join key, adaptive execution may split a partition that is still too large.
+    are spread over ``salts`` partitions (as many as a shuffle has, if not given) by
+    a hash of their times, and each threshold is repeated once per salt.  The hash
+    depends on the row alone, so a task that is run again reproduces it; and because
+    the salt is part of the join key, adaptive execution may split a partition that
+    is still too large.
     """
-    keys = ["dag_id", "task_id"]
-    limits = thresholds.select(*keys, "sla_threshold_seconds")
-    if limits.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        return tasks.join(F.broadcast(limits), keys, "inner")
+    spark, keys = tasks.sparkSession, ["dag_id", "task_id"]
+    ensure_checkpoint_dir(spark)
+    limits = (
+        thresholds.groupBy(*keys)
+        .agg(F.min("sla_threshold_seconds").alias("sla_threshold_seconds"))
+        .checkpoint()
+    )
+    if limits.count() <= broadcast_rows:
+        return tasks.join(F.broadcast(limits), keys, how)
+    salts = salts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     run_hash = F.xxhash64("execution_date", "start_date", "end_date")
     salted = tasks.withColumn("_salt", F.pmod(run_hash, F.lit(salts)).cast("int"))
     every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")
     repeated = limits.select("*", every_salt)
-    return salted.join(repeated, [*keys, "_salt"], "inner").drop("_salt")
+    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], newest_by: str = "extracted_at") -> DataFrame:

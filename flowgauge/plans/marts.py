@@ -6,10 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from flowgauge.functions import day_of, rate_percent, sla_threshold
 from flowgauge.operators import (
-    global_row_number,
     grouped_percentiles,
     join_thresholds,
     rolling_mean,
@@ -113,21 +113,42 @@ def slowest_first(column: str) -> list[Column]:
     return [F.desc_nulls_last(column), F.asc_nulls_first("dag_id"), F.asc_nulls_first("task_id")]
 
 
+def _with_rank(some: DataFrame, totals: DataFrame, column: str, name: str) -> DataFrame:
+    """The rows of ``some`` (a few of ``totals``) with their place among all by ``slowest_first(column)``."""
+    key = F.struct(
+        F.col(column).isNull().alias("unknown"), (-F.col(column)).alias("longest"), "dag_id", "task_id"
+    )
+    edges = some.agg(F.sort_array(F.collect_list(key)).alias("edges")).scalar()
+
+    def placed(df: DataFrame) -> DataFrame:
+        before = F.filter("edges", lambda edge: edge < key)
+        return df.withColumn("edges", edges).withColumn("stretch", F.size(before)).drop("edges")
+
+    counts = placed(totals).groupBy("stretch").agg(F.count(F.lit(1)).alias("n"))
+    # Stretch i ends with edge i, so the sum up to it is that edge's rank.
+    order = Window.orderBy("stretch").rowsBetween(Window.unboundedPreceding, 0)
+    ranks = counts.select("stretch", F.sum("n").over(order).cast("bigint").alias(name))
+    return placed(some).join(F.broadcast(ranks), "stretch").drop("stretch")
+
+
 def slowest_tasks(tasks: DataFrame, k: int = TOP_SLOWEST) -> DataFrame:
     """The ``k`` tasks with the longest mean runtime.
 
-    The ranks are over all tasks, so the totals of every task are ranked by
-    their maximum first (distributed, see ``global_row_number``, which runs and
-    checkpoints that step).  The rank by mean is the place in the top list
-    itself.  Percentiles need the single runs, and are computed only for the
-    ``k`` tasks that are reported; their runs travel under the place number, not
-    under two names.
+    Ranks are over all tasks.  The rank by mean is the place in the top list itself.
+    For the rank by maximum, one pass over the totals counts how many lie between
+    the ``k`` reported tasks in that order: the counts of at most ``k + 1`` stretches
+    add up to their ranks, so the totals are never sorted.  Percentiles need the
+    single runs, and are computed only for the ``k`` tasks that are reported; their
+    runs travel under the place number, not under two names.
     """
-    by_max = global_row_number(
-        task_totals(tasks), slowest_first("max_duration_seconds"), "rank_by_max_duration"
-    )
+    totals = task_totals(tasks)
     place = "rank_by_avg_duration"
-    best = top_k(by_max, slowest_first("avg_duration_seconds"), k, place)
+    best = _with_rank(
+        top_k(totals, slowest_first("avg_duration_seconds"), k, place),
+        totals,
+        "max_duration_seconds",
+        "rank_by_max_duration",
+    )
     task = F.struct("dag_id", "task_id").alias("_task")  # equal by field, NULL included
     places = best.select(task, place)
     if k <= BROADCAST_ROWS:
@@ -199,15 +220,16 @@ def sla_task_daily(
 
     Tier thresholds follow from the workflow's name, so they are a projection
     and need no join.  Give ``task_thresholds`` (dag_id, task_id,
-    sla_threshold_seconds) to set them per task; then they are joined.  Either
-    way a task without a name has no threshold and is left out.
+    sla_threshold_seconds) to set them for some tasks; these are joined, and all
+    other tasks keep their tier's.  Either way a task without a name has no
+    threshold and is left out.
     """
-    runs = timed(tasks)
-    if task_thresholds is None:
-        named = runs.where(F.col("dag_id").isNotNull() & F.col("task_id").isNotNull())
-        limited = named.withColumn("sla_threshold_seconds", sla_threshold(F.col("dag_id"), thresholds))
-    else:
-        limited = join_thresholds(runs, task_thresholds)
+    limit = sla_threshold(F.col("dag_id"), thresholds)
+    named = timed(tasks).where(F.col("dag_id").isNotNull() & F.col("task_id").isNotNull())
+    if task_thresholds is not None:
+        named = join_thresholds(named, task_thresholds, how="left")
+        limit = F.coalesce("sla_threshold_seconds", limit)
+    limited = named.withColumn("sla_threshold_seconds", limit)
     day = day_of(F.col("execution_date")).alias("execution_day")
     return _sla_counts(limited, ["dag_id", "task_id", day])
 

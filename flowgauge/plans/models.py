@@ -71,15 +71,19 @@ def selected_models(select: Iterable[str] | None = None) -> list[str]:
 
 
 def model_frames(
-    sources: Mapping[str, DataFrame], thresholds: SlaThresholds = SlaThresholds()
+    sources: Mapping[str, DataFrame],
+    thresholds: SlaThresholds = SlaThresholds(),
+    dedupe: bool = False,
 ) -> Callable[[str], DataFrame]:
-    """A lookup of models by name over the given sources; nothing is computed yet."""
+    """A lookup of models by name over the given sources; no job runs yet."""
     frames = dict(sources)
 
     def frame(name: str) -> DataFrame:
         if name not in frames:
             model = MODELS[name]
             settings = {"thresholds": thresholds} if name == "sla_misses" else {}
+            if name.startswith("stg_"):
+                settings = {"dedupe": dedupe}
             built = model.build(*[frame(i) for i in model.inputs], **settings)
             frames[name] = with_comments(built, name)
         return frames[name]
@@ -93,9 +97,14 @@ def build_models(
     select: Iterable[str] | None = None,
     database: str = "default",
     thresholds: SlaThresholds = SlaThresholds(),
+    dedupe: bool = False,
 ) -> list[str]:
-    """Build the selected models in order: staging as views, marts as full rebuilds of tables."""
-    frame = model_frames(sources, thresholds)
+    """Build the selected models in order: staging as views, marts as full rebuilds of tables.
+
+    ``dedupe`` keeps the newest copy of every run in the staging models, where load
+    windows overlap.
+    """
+    frame = model_frames(sources, thresholds, dedupe)
     chosen = selected_models(select)
     for name in chosen:
         if MODELS[name].stored:
@@ -107,10 +116,12 @@ def build_models(
     return chosen
 
 
-def stored_relations(spark: SparkSession, database: str = "default") -> dict[str, DataFrame]:
-    """The raw tables and all models as last built, e.g. for ``quality.run_model_tests``."""
+def stored_relations(
+    spark: SparkSession, database: str = "default", names: Iterable[str] | None = None
+) -> dict[str, DataFrame]:
+    """The raw tables and models as last built (all, or those named), e.g. for ``quality.run_model_tests``."""
     raw = ["dag_runs", "task_instances"]
     return {
         name: spark.table(f"{database}.{name}" if name in raw or MODELS[name].stored else name)
-        for name in [*raw, *MODELS]
+        for name in (names if names is not None else [*raw, *MODELS])
     }

@@ -9,7 +9,15 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgauge.quality.rules import FreshWithin, NullShare, RowCount, Rule, failed_result, run_rules
+from flowgauge.quality.rules import (
+    FreshWithin,
+    NullShare,
+    RowCount,
+    Rule,
+    TableExists,
+    failed_result,
+    run_rules,
+)
 from flowgauge.schemas import MAX_AGE_HOURS
 
 STANDARD_SUITE = "standard"
@@ -58,7 +66,7 @@ def run_standard_checks(
         parts = [
             failed_result(
                 anchor,
-                RowCount(name=f"table_exists_{name}"),
+                TableExists(),
                 STANDARD_SUITE,
                 name,
                 "required table is missing",

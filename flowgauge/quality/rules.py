@@ -8,6 +8,7 @@ shuffle by value of its own.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -21,6 +22,8 @@ from pyspark.sql import types as T
 from flowgauge.functions import age_hours, parse_timestamp, percent_text, time_literal
 from flowgauge.schemas import CHECK_RESULT, MAX_AGE_HOURS
 
+log = logging.getLogger(__name__)
+
 _NTZ = T.TimestampNTZType()
 
 
@@ -74,6 +77,19 @@ class RowCount(Rule):
         }
 
 
+@dataclass(frozen=True, kw_only=True)
+class TableExists(Rule):
+    """The table is there.  It can only be put to a table that is, so it holds."""
+
+    kind = "table_exists"
+
+    def measures(self, df):
+        return [F.count(F.lit(1))]
+
+    def verdict(self, rows):
+        return {"passed": F.lit(True), "message": F.lit("table is there")}
+
+
 @dataclass(frozen=True, kw_only=True)
 class NullShare(Rule):
     """At most ``max_share`` (0 to 1) of the rows are NULL; an empty table fails."""
@@ -319,18 +335,23 @@ def run_rules(df: DataFrame, rules: Sequence[Rule], suite: str, table: str) -> D
 def run_rule_sets(df: DataFrame, rule_sets: Mapping[str, Sequence[Rule]], table: str) -> DataFrame:
     """``run_rules`` for several suites on one table, still in a single scan."""
 
-    def misfit(rule: Rule) -> str | None:
-        """Why the rule cannot be put to this table; found by analysis, nothing runs."""
-        absent = [name for name in rule.reads if name not in df.columns]
+    def fits(rules: Sequence[Rule]) -> str | None:
+        """Why the rules cannot be put to this table; found by analysis, nothing runs."""
+        absent = [name for rule in rules for name in rule.reads if name not in df.columns]
         if absent:
             return f"column not found: {', '.join(absent)}"
         try:
-            source = rule.tallied(df) if isinstance(rule, Unique) else df
-            source.agg(*rule.measures(source)).schema
+            df.agg(*[m for rule in rules for m in rule.measures(df)]).schema
         except AnalysisException as problem:
             return str(problem).splitlines()[0]
         return None
 
+    def misfit(rule: Rule) -> str | None:
+        if not isinstance(rule, Unique):
+            return fits([rule])
+        absent = [name for name in rule.reads if name not in df.columns]
+        return f"column not found: {', '.join(absent)}" if absent else None
+
     def compiled(source: DataFrame, chosen: Sequence[tuple[str, Rule]]) -> DataFrame:
         figures: list[Column] = []
         rows: list[Column] = []
@@ -347,9 +368,39 @@ def run_rule_sets(df: DataFrame, rule_sets: Mapping[str, Sequence[Rule]], table:
         return source.agg(*figures).select(F.inline(F.array(*rows)))
 
     labelled = [(suite, rule) for suite, rules in rule_sets.items() for rule in rules]
-    misfits = {rule: why for _, rule in labelled if (why := misfit(rule))}
+    # Analysis costs more than the rest of planning: all rules together, one by one only if that fails.
+    plain = [rule for _, rule in labelled if not isinstance(rule, Unique)]
+    suspects = [rule for _, rule in labelled if isinstance(rule, Unique)] + (plain if plain and fits(plain) else [])
+    misfits = {rule: why for rule in suspects if (why := misfit(rule))}
     lone = [pair for pair in labelled if isinstance(pair[1], Unique) and pair[1] not in misfits]
     shared = [pair for pair in labelled if pair not in lone]
     parts = [compiled(df, shared)] if shared else []
     parts += [compiled(rule.tallied(df), [(suite, rule)]) for suite, rule in lone]
     return reduce(DataFrame.unionByName, parts)
+
+
+def settled(df: DataFrame, rule_sets: Mapping[str, Sequence[Rule]], table: str) -> DataFrame:
+    """``run_rule_sets``, run now, with errors kept to the rule that meets them.
+
+    All rules run in one scan.  If that breaks off (a value cannot be computed, say),
+    each rule runs by itself, and those that fail become failed rows with the
+    error.  The rows, one per rule, come back through the driver.
+    """
+    spark = df.sparkSession
+    try:
+        rows = run_rule_sets(df, rule_sets, table).collect()
+    except Exception as problem:  # noqa: BLE001 - any error of a rule is a result here
+        log.warning("checks of %s run one by one: %s", table, _first_line(problem))
+        rows = []
+        for suite, rules in rule_sets.items():
+            for rule in rules:
+                try:
+                    rows += run_rule_sets(df, {suite: [rule]}, table).collect()
+                except Exception as problem:  # noqa: BLE001
+                    rows += failed_result(df, rule, suite, table, _first_line(problem)).collect()
+    return spark.createDataFrame(rows, CHECK_RESULT)
+
+
+def _first_line(problem: Exception) -> str:
+    condition = getattr(problem, "getCondition", lambda: None)()
+    return condition or (str(problem).splitlines() or [type(problem).__name__])[0]

@@ -107,6 +107,23 @@ def test_ranks_gather_only_partition_counts(stored):
     assert scans(plan) == 0  # the rows come from the checkpoint
 
 
+def test_slowest_tasks_starts_no_job_and_sorts_no_totals(spark, stored):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("slowest", "")
+    df = marts.slowest_tasks(stg_task_instances(stored[1]))
+    assert not tracker.getJobIdsForGroup("slowest")
+    plan = final_plan(df)
+    assert "rangepartitioning" not in plan and "ReusedExchange" in plan
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_threshold_join_scans_facts_twice_at_most(spark, stored):
+    tasks = stg_task_instances(stored[1])
+    plan = final_plan(join_thresholds(tasks, sla_thresholds(tasks)))
+    # One scan reduced the thresholds to a checkpoint; what is left reads the facts once.
+    assert scans(plan) == 1
+
+
 def test_suite_is_one_scan_and_one_aggregate(stored):
     for df, suite in ((stored[0], dag_runs_suite()), (stored[1], task_instances_suite())):
         plan = final_plan(run_suite(df, suite))
