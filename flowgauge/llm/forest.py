@@ -24,6 +24,8 @@ ship(__name__)
 TREES, DEPTH = 10, 6
 #: Candidates that a query's leaves hold together, as a multiple of all vectors; a vector counts in each tree.
 SEARCH = 1.0
+#: Up to so many vectors a query goes through all leaves.
+WHOLE = 500
 #: Vectors of a leaf that are ranked in one place; larger leaves are split.
 LEAF_ROWS = 20_000
 
@@ -157,7 +159,8 @@ def nearest(
     index = heads.mapInArrow(place, f"tree int, leaf int, node long, vec {kind}")
     # One count per leaf: as many as the forest has leaves, whatever the input.
     counts = {(r.tree, r.leaf): r.n for r in index.groupBy("tree", "leaf").agg(F.count(F.lit(1)).alias("n")).collect()}
-    wanted = search * sum(counts.values()) / trees
+    held_in_all = sum(counts.values())
+    wanted = held_in_all if held_in_all <= WHOLE * trees else search * held_in_all / trees
     parts = {place: -(-n // LEAF_ROWS) for place, n in counts.items()}
     most = max(parts.values())
     asked = (

@@ -64,32 +64,32 @@ _LINE_WORDS = r"len(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))"
 
 OP6 = f"""
 WITH lines AS (
-    SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS at
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos
     FROM documents WHERE text IS NOT NULL
 ), counted AS (
-    SELECT doc_id, line, at, CAST({_LINE_WORDS} AS BIGINT) AS words FROM lines
+    SELECT doc_id, line, pos, CAST({_LINE_WORDS} AS BIGINT) AS words FROM lines
 ), placed AS (
-    SELECT *, CAST(sum(words) OVER (PARTITION BY doc_id ORDER BY at) AS BIGINT) AS until FROM counted WHERE words > 0
-), both AS (
-    SELECT doc_id, min(at) OVER f AS s, max(at) OVER f AS e, list(line) OVER f AS body, sum(words) OVER f AS words
+    SELECT *, CAST(sum(words) OVER (PARTITION BY doc_id ORDER BY pos) AS BIGINT) AS until FROM counted WHERE words > 0
+), windows AS (
+    SELECT doc_id, min(pos) OVER f AS s, max(pos) OVER f AS e, list(line) OVER f AS body, sum(words) OVER f AS words
     FROM (SELECT *, until - words AS since FROM placed)
     WINDOW f AS (PARTITION BY doc_id ORDER BY since RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)
     UNION ALL
-    SELECT doc_id, min(at) OVER b AS s, max(at) OVER b AS e, list(line) OVER b AS body, sum(words) OVER b AS words
+    SELECT doc_id, min(pos) OVER b AS s, max(pos) OVER b AS e, list(line) OVER b AS body, sum(words) OVER b AS words
     FROM placed
     WINDOW b AS (PARTITION BY doc_id ORDER BY until RANGE BETWEEN 49 PRECEDING AND CURRENT ROW)
 ), spans AS (
-    SELECT doc_id, s, e, md5(array_to_string(body, chr(10))) AS content FROM both WHERE words >= 50
+    SELECT doc_id, s, e, md5(array_to_string(body, chr(10))) AS content FROM windows WHERE words >= 50
 ), firsts AS (
     SELECT content, min((doc_id, s, e)) AS first FROM spans GROUP BY content HAVING count(*) > 1
 ), later AS (
     SELECT DISTINCT doc_id, s, e FROM spans JOIN firsts USING (content) WHERE doc_id <> first[1] OR s > first[3]
 ), gone AS (
-    SELECT DISTINCT l.doc_id, l.at FROM lines l JOIN later r ON l.doc_id = r.doc_id AND l.at BETWEEN r.s AND r.e
+    SELECT DISTINCT l.doc_id, l.pos FROM lines l JOIN later r ON l.doc_id = r.doc_id AND l.pos BETWEEN r.s AND r.e
 ), rest AS (
-    SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.at) FILTER (g.at IS NULL) AS text,
-        CAST(count(g.at) AS BIGINT) AS removed_lines
-    FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.at = g.at GROUP BY l.doc_id
+    SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (g.pos IS NULL) AS text,
+        CAST(count(g.pos) AS BIGINT) AS removed_lines
+    FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.pos = g.pos GROUP BY l.doc_id
 )
 SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(r.text, '') END AS text, coalesce(removed_lines, 0) AS removed_lines
 FROM documents d LEFT JOIN rest r USING (doc_id)
