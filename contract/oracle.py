@@ -116,9 +116,9 @@ task_totals AS (
   FROM timed_tasks GROUP BY dag_id, task_id),
 ranked_tasks AS (
   SELECT *,
-         row_number() OVER (ORDER BY avg_duration_seconds DESC NULLS LAST, dag_id, task_id)
+         row_number() OVER (ORDER BY avg_duration_seconds DESC NULLS LAST, dag_id NULLS FIRST, task_id NULLS FIRST)
            AS rank_by_avg_duration,
-         row_number() OVER (ORDER BY max_duration_seconds DESC NULLS LAST, dag_id, task_id)
+         row_number() OVER (ORDER BY max_duration_seconds DESC NULLS LAST, dag_id NULLS FIRST, task_id NULLS FIRST)
            AS rank_by_max_duration
   FROM task_totals),
 sla_task_daily AS (
@@ -129,7 +129,8 @@ sla_task_daily AS (
            AS sla_miss_rate_percent,
          avg(calculated_duration) AS avg_duration_seconds,
          max(calculated_duration) AS max_duration_seconds
-  FROM timed_tasks GROUP BY ALL),
+  -- Thresholds are per named task; a run without a name has none.
+  FROM timed_tasks WHERE dag_id IS NOT NULL AND task_id IS NOT NULL GROUP BY ALL),
 sla_dag_daily AS (
   SELECT dag_id, execution_day, 7200 AS sla_threshold_seconds, count(*) AS total_count,
          count(*) FILTER (calculated_duration > 7200) AS sla_misses,
@@ -550,7 +551,7 @@ SELECT execution_day, sla_miss_rate_percent, entity_type, dag_id, identifier FRO
 ORDER BY execution_day DESC, sla_miss_rate_percent DESC""",
     "top_k_slowest": """
 SELECT dag_id, task_id, avg_duration_seconds FROM task_totals
-ORDER BY avg_duration_seconds DESC NULLS LAST, dag_id, task_id LIMIT 10""",
+ORDER BY avg_duration_seconds DESC NULLS LAST, dag_id NULLS FIRST, task_id NULLS FIRST LIMIT 10""",
     "union_all_sla": """
 SELECT entity_type, dag_id, identifier, execution_day, total_count, sla_misses FROM sla_misses""",
     # models
