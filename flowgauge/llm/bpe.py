@@ -2,8 +2,9 @@
 
 Spark splits texts into words.  A block of documents keeps its words as numbers into a
 dictionary of its own; the dictionaries' words meet in one table, in which each distinct
-word is encoded once and its ids are joined with the vocabulary's pieces.  Ids and
-pieces then go back to the blocks, whose documents put them in place by position.
+word is encoded once.  The ids then go back to the blocks, whose documents put them in
+place by position, and meet their pieces in a join with the vocabulary, which is small
+enough for every task to have whole.
 """
 
 from __future__ import annotations
@@ -24,13 +25,15 @@ from flowgauge.llm.common import col, ship
 
 ship(__name__)
 
-#: The vocabulary's own split pattern, with white space as Unicode has it.
+#: The vocabulary's own split pattern, white space as Unicode has it, and most frequent cases first.
 PATTERN = (
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{IsWhite_Space}\p{L}\p{N}]+"
+    r" ?\p{L}++| ?\p{N}++|'(?:s|t|re|ve|m|ll|d)| ?[^\p{IsWhite_Space}\p{L}\p{N}]++"
     r"|\p{IsWhite_Space}+(?!\P{IsWhite_Space})|\p{IsWhite_Space}+"
 )
 #: Bytes of text in a block; a longer document is a block by itself.
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 32 << 20
+#: Words whose codes are packed together.
+CHUNK_WORDS = 1 << 16
 #: Rows that a task gathers before it packs them by block.
 PACK_ROWS = 1 << 19
 #: A vocabulary of up to so many pieces is broadcast, a larger one is joined by shuffle.
@@ -68,18 +71,24 @@ def byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-def vocabulary(spark: SparkSession, spec: str) -> DataFrame:
-    """(id, piece): the bytes of every id, as hex."""
+def pieces(spec: str) -> dict[int, bytes]:
+    """The bytes of every id."""
     table, special = byte_of_char(), _special(spec)
-    pieces = {i: p for p, i in json.loads(spec)["model"]["vocab"].items()} | {i: p for p, i in special.items()}
+    found = {i: p for p, i in json.loads(spec)["model"]["vocab"].items()} | {i: p for p, i in special.items()}
 
-    def plain(piece: str) -> str:
+    def plain(piece: str) -> bytes:
         if piece in special or any(c not in table for c in piece):
-            return piece.encode().hex()
-        return bytes(table[c] for c in piece).hex()
+            return piece.encode()
+        return bytes(table[c] for c in piece)
+
+    return {i: plain(p) for i, p in sorted(found.items())}
+
 
-    frame = spark.createDataFrame([(i, plain(p)) for i, p in sorted(pieces.items())], "id int, piece string")
-    return F.broadcast(frame) if len(pieces) <= BROADCAST_PIECES else frame
+def vocabulary(spark: SparkSession, spec: str) -> DataFrame:
+    """(id, piece) with the bytes of every id as hex."""
+    rows = [(i, p.hex()) for i, p in pieces(spec).items()]
+    frame = spark.createDataFrame(rows, "id int, piece string")
+    return F.broadcast(frame) if len(rows) <= BROADCAST_PIECES else frame
 
 
 def _split_by_library(spec: str, text: str) -> list[str]:
@@ -107,9 +116,9 @@ def _with_words(docs: DataFrame, id: str, text: str, spec: str) -> DataFrame:
     odd = F.col("text").rlike(r"\p{Cn}")
     for token in _special(spec):
         odd |= F.contains("text", F.lit(token))
-    words = F.when(~odd, F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)))
-    return rows.sortWithinPartitions("id", F.xxhash64("text")).select(
-        "id", F.octet_length("text").alias("size"), F.when(odd, F.col("text")).alias("text"), words.alias("words")
+    words = F.when(~F.col("odd"), F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)))
+    return rows.withColumn("odd", odd).sortWithinPartitions("id", F.xxhash64("text")).select(
+        "id", F.octet_length("text").alias("size"), F.when(F.col("odd"), F.col("text")).alias("text"), words.alias("words")
     )
 
 
@@ -173,8 +182,9 @@ def _word_rows(batches, spec: str):
 
 
 def _planes(codes: np.ndarray) -> bytes:
-    """Codes as compressed planes of bytes."""
-    return pa.compress(codes.view(np.uint8).reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True)
+    """Numbers as compressed planes of bytes: the higher bytes of small numbers cost next to nothing."""
+    raw = codes.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    return pa.Codec("zstd", compression_level=5).compress(raw, asbytes=True)
 
 
 def _codes(planes: bytes, n: int) -> np.ndarray:
@@ -183,40 +193,52 @@ def _codes(planes: bytes, n: int) -> np.ndarray:
 
 
 def _doc_rows(batches, spec: str):
+    """Neighbouring documents of a block in one row: ids, words of each, codes of all."""
     for number, docs, counts, codes, _ in _blocks(batches, spec):
         ends = np.cumsum(counts)
-        packed = [_planes(codes[e - n : e]) for e, n in zip(ends.tolist(), counts.tolist())]
-        for i in range(0, len(docs), 2000):
-            part = docs[i : i + 2000]
+        first = 0
+        while first < len(docs):
+            before = int(ends[first] - counts[first])
+            until = max(first + 1, int(np.searchsorted(ends, before + CHUNK_WORDS, side="right")))
+            part = codes[before : int(ends[until - 1])]
+            size = until - first
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.full(len(part), number, np.int64)),
-                    part,
-                    pa.array(counts[i : i + 2000].astype(np.int32)),
-                    pa.array(packed[i : i + 2000], pa.binary()),
+                    pa.array([number]),
+                    pa.ListArray.from_arrays(pa.array([0, size], pa.int32()), docs[first:until]),
+                    pa.array([counts[first:until].astype(np.int32)], pa.list_(pa.int32())),
+                    pa.array([_planes(part)], pa.binary()),
                 ],
                 ["block", "id", "n", "codes"],
             )
+            first = until
+
+
+PACK = "block long, n int, n_ids int, steps binary, lengths binary, ids binary"
 
 
 def _packs(batches):
-    """(block, pack): rows (code, ids, piece) of one block in one compressed value."""
+    """Rows (code, ids) of a block in one row: steps from code to code, lengths, and ids, each packed."""
     waiting, rows = [], 0
 
     def packed():
         table = pa.Table.from_batches(waiting)
-        order = np.argsort(table["block"].to_numpy(), kind="stable")
-        table = table.take(pa.array(order)).combine_chunks()
-        blocks = table["block"].to_numpy()
-        cuts = np.concatenate([[0], np.flatnonzero(np.diff(blocks)) + 1, [len(blocks)]])
-        values = []
-        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            sink = pa.BufferOutputStream()
-            part = table.slice(a, b - a).drop_columns(["block"]).combine_chunks()
-            with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-                out.write_table(part)
-            values.append(sink.getvalue().to_pybytes())
-        return pa.RecordBatch.from_arrays([pa.array(blocks[cuts[:-1]]), pa.array(values, pa.binary())], ["block", "pack"])
+        order = np.lexsort([table["code"].to_numpy(), table["block"].to_numpy()])
+        blocks, codes = table["block"].to_numpy()[order], table["code"].to_numpy()[order]
+        ids = table["ids"].take(pa.array(order)).combine_chunks()
+        ends = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset : ids.offset + len(ids) + 1] // 4
+        flat = np.frombuffer(ids.buffers()[2], "<i4") if ends[-1] else np.zeros(0, "<i4")
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(blocks)) + 1, [len(blocks)]]).tolist()
+        out = {"block": [], "n": [], "n_ids": [], "steps": [], "lengths": [], "ids": []}
+        for a, b in zip(cuts, cuts[1:]):
+            out["block"].append(int(blocks[a]))
+            out["n"].append(b - a)
+            out["n_ids"].append(int(ends[b] - ends[a]))
+            out["steps"].append(_planes(np.diff(codes[a:b], prepend=0)))
+            out["lengths"].append(_planes(np.diff(ends[a : b + 1])))
+            out["ids"].append(_planes(flat[ends[a] : ends[b]]))
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds)], list(out))
 
     for batch in batches:
         waiting.append(batch)
@@ -228,38 +250,57 @@ def _packs(batches):
         yield packed()
 
 
-def _put_in_place(docs: pa.Table, packs: pa.Table, lists: bool, decoded: bool) -> pa.Table:
+@functools.cache
+def _spelled(spec: str) -> tuple[list[str], list[bytes]]:
+    """Every id as text, and its bytes."""
+    found = pieces(spec)
+    return [str(i) for i in range(max(found) + 1)], [found.get(i, b"") for i in range(max(found) + 1)]
+
+
+def _put_in_place(docs: pa.Table, packs: pa.Table, spec: str, lists: bool, decoded: bool) -> pa.Table:
     """Ids and decoded bytes of a block's documents."""
-    rows = [pa.ipc.open_stream(p.as_py()).read_all() for p in packs["pack"]]
-    ids, pieces = {}, {}
-    for table in rows:
-        for code, i, piece in zip(table["code"].to_pylist(), table["ids"].to_pylist(), table["piece"].to_pylist()):
-            ids[code], pieces[code] = i, piece
-    lengths = np.fromiter((ids[c].count(",") + 1 for c in range(len(ids))), np.int64, len(ids))
-    flat = np.array(",".join(ids[c] for c in range(len(ids))).split(","), "i4") if ids else np.zeros(0, "i4")
+    number, piece = _spelled(spec)
+    known, lengths, flats = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+    for n, n_ids, steps, sizes, ids in zip(*(packs[c].to_pylist() for c in ("n", "n_ids", "steps", "lengths", "ids"))):
+        known.append(np.cumsum(_codes(steps, n)))
+        lengths.append(_codes(sizes, n))
+        flats.append(_codes(ids, n_ids))
+    known, lengths, flat = np.concatenate(known), np.concatenate(lengths).astype(np.int64), np.concatenate(flats)
     starts = np.cumsum(lengths) - lengths
-    as_text = [ids[c] for c in range(len(ids))]
-    as_bytes = [pieces[c] for c in range(len(ids))]
-    out = {"id": docs["id"], "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
+    # Blocks with the same rows have one number and one dictionary, which comes once for each.
+    known, first = np.unique(known, return_index=True)
+    if not np.array_equal(known, np.arange(len(known))):
+        raise RuntimeError("a block's words are not all there")
+    lengths, starts = lengths[first], starts[first]
+    each = [flat[a : a + n] for a, n in zip(starts.tolist(), lengths.tolist())]
+    as_text = [",".join([number[i] for i in e.tolist()]) for e in each]
+    as_bytes = [b"".join([piece[i] for i in e.tolist()]) for e in each]
+    out = {"id": [], "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
     out |= {"ids": []} if lists else {}
     out |= {"decoded": []} if decoded else {}
-    for n, planes in zip(docs["n"].to_pylist(), docs["codes"].to_pylist()):
-        codes = _codes(planes, n)
-        if n and int(codes.max()) >= len(as_text):
+    for names, counts, planes in zip(*(docs[c].combine_chunks() for c in ("id", "n", "codes"))):
+        out["id"].append(names.values)
+        counts = counts.values.to_numpy()
+        codes = _codes(planes.as_py(), int(counts.sum()))
+        if len(codes) and int(codes.max()) >= len(each):
             raise RuntimeError("the input's partitions changed between two reads; write it to a table first")
-        listed = codes.tolist()
-        text = b"".join([as_bytes[c] for c in listed])
-        out["n_tokens"].append(int(lengths[codes].sum()))
-        out["ids_sha256"].append(hashlib.sha256(",".join([as_text[c] for c in listed]).encode()).hexdigest())
-        whole = text.decode("utf-8", "replace")
-        out["decoded_sha256"].append(hashlib.sha256(whole.encode()).hexdigest())
-        if lists:
-            each = lengths[codes]
-            at = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each) + np.repeat(starts[codes], each)
-            out["ids"].append(flat[at])
-        if decoded:
-            out["decoded"].append(whole)
-    return pa.table(out)
+        for end, n in zip(np.cumsum(counts).tolist(), counts.tolist()):
+            own = codes[end - n : end]
+            listed = own.tolist()
+            text = ",".join([as_text[c] for c in listed])
+            whole = b"".join([as_bytes[c] for c in listed])
+            size = lengths[own]
+            out["n_tokens"].append(int(size.sum()))
+            out["ids_sha256"].append(hashlib.sha256(text.encode()).hexdigest())
+            out["decoded_sha256"].append(hashlib.sha256(whole.decode("utf-8", "replace").encode()).hexdigest())
+            if lists:
+                at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(starts[own], size)
+                out["ids"].append(flat[at])
+            if decoded:
+                out["decoded"].append(whole.decode("utf-8", "replace"))
+    out["id"] = pa.chunked_array(out["id"])
+    kinds = {"n_tokens": pa.int64(), "ids": pa.list_(pa.int32())}
+    return pa.table({k: v if k == "id" else pa.array(v, kinds.get(k, pa.string())) for k, v in out.items()})
 
 
 def round_trip(
@@ -279,32 +320,30 @@ def round_trip(
     """
     spec = read_tokenizer(tokenizer)
     split = _with_words(docs, id, text, spec)
-    words = split.mapInArrow(lambda b: _word_rows(b, spec), "block long, code int, word string").repartition("word")
+    words = split.mapInArrow(lambda b: _word_rows(b, spec), "block long, code int, word string")
+    # The join's own null test, set before the shuffle, so that the shuffle is the same on both sides.
+    words = words.where("word is not null").repartition("word")
 
-    @F.pandas_udf("array<int>")
+    @F.pandas_udf("binary")
     def encode(column: pd.Series) -> pd.Series:
         special, tokenizer = _special(spec), _tokenizer(spec)
-        found = [
-            [special[w]] if w in special else e.ids
-            for w, e in zip(column, tokenizer.encode_batch(column.tolist(), add_special_tokens=False))
-        ]
-        return pd.Series(found)
-
-    encoded = words.select("word").distinct().select("word", encode("word").alias("ids"))
-    placed = encoded.select("word", F.posexplode("ids").alias("at", "id")).join(
-        vocabulary(docs.sparkSession, spec), "id"
-    )
-    listed = placed.groupBy("word").agg(F.sort_array(F.collect_list(F.struct("at", "id", "piece"))).alias("all"))
-    table = listed.select(
-        "word",
-        F.array_join(F.transform("all", lambda x: x["id"].cast("string")), ",").alias("ids"),
-        F.unhex(F.array_join("all.piece", "")).alias("piece"),
-    )
-    back = words.join(table, "word").select("block", "code", "ids", "piece").mapInArrow(_packs, "block long, pack binary")
+        found = tokenizer.encode_batch(column.tolist(), add_special_tokens=False)
+        ids = [[special[w]] if w in special else e.ids for w, e in zip(column, found)]
+        return pd.Series([np.array(i, "<i4").tobytes() for i in ids])
+
+    # The distinct words come from the same shuffle as the rows that they are joined with: both use
+    # all its columns.  Called nondeterministic, the encoder stays above the aggregate.
+    distinct = words.groupBy("word").agg(F.min("block").alias("b"), F.min("code").alias("c"))
+    table = distinct.where("b is not null and c >= 0").select("word", encode.asNondeterministic()("word").alias("ids"))
+    back = words.join(table, "word").select("block", "code", "ids").mapInArrow(_packs, PACK)
     kind = docs.select(col(id)).schema[0].dataType
     rows = split.mapInArrow(
         lambda b: _doc_rows(b, spec),
-        T.StructType().add("block", "long").add("id", kind).add("n", "integer").add("codes", "binary"),
+        T.StructType()
+        .add("block", "long")
+        .add("id", T.ArrayType(kind))
+        .add("n", T.ArrayType(T.IntegerType()))
+        .add("codes", "binary"),
     )
     schema = T.StructType().add("id", kind).add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
     schema = schema.add("ids", T.ArrayType(T.IntegerType())) if lists else schema
@@ -312,7 +351,7 @@ def round_trip(
     return (
         rows.groupBy("block")
         .cogroup(back.groupBy("block"))
-        .applyInArrow(lambda a, b: _put_in_place(a, b, lists, decoded), schema)
+        .applyInArrow(lambda a, b: _put_in_place(a, b, spec, lists, decoded), schema)
         .withColumnRenamed("id", id)
     )
 

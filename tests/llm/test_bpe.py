@@ -56,6 +56,12 @@ def test_given_documents_in_small_blocks(table, library, monkeypatch):
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == want(library, texts[r.doc_id])[:3]
 
 
+def test_equal_blocks(docs, library):
+    df = docs((1, "a bc"), (2, "de f"))
+    found = bpe.round_trip(df.coalesce(1).union(df.coalesce(1))).collect()
+    assert sorted((r.doc_id, r.decoded) for r in found) == [(1, "a bc"), (1, "a bc"), (2, "de f"), (2, "de f")]
+
+
 def test_decode(spark, library):
     texts = ["héllo wörld", "", "x<|endoftext|>"]
     rows = [(i, library.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)] + [(9, None)]
