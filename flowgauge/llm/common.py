@@ -57,3 +57,15 @@ def word_count(text: Column) -> Column:
 def id_bucket(key: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``: which fold a document is in."""
     return F.crc32(key.cast("string").cast("binary")) % parts
+
+
+def spread_sample(df: DataFrame, place: Column, size: int) -> DataFrame:
+    """At most ``size`` rows, those of the smallest ``place`` (a 64-bit hash), the same in every run.
+
+    A bound on the hash, from the number of rows, leaves about twice as many as wanted,
+    so that tasks do not each send ``size`` rows.
+    """
+    n = df.count()
+    if n > 4 * size:
+        df = df.where(place.cast("double") / 2.0**64 + 0.5 <= 2.0 * size / n)
+    return df.orderBy(place).limit(size)

@@ -133,7 +133,7 @@ def nearest(
         F.col("id").isNotNull() & usable(F.col("vec"))
     )
     rows, asking = narrow(vectors), narrow(queries)
-    points = sample(rows, "vec", sample_size)
+    points = sample(rows, size=sample_size)
     schema = "query_id long, rank int, vec_id long, score double"
     if not len(points):
         return spark.createDataFrame([], schema).withColumnRenamed("vec_id", id)

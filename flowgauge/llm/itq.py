@@ -134,7 +134,7 @@ def near_vectors(
     """
     rows = vectors.select(col(id).cast("long").alias("id"), col(vector).alias("vec"))
     good = rows.where(usable(F.col("vec")))
-    points = sample(good, "vec", sample_size)
+    points = sample(good, size=sample_size)
     if not len(points):
         return _answer(rows, None, id)
     dims, model = points.shape[1], learn(points)

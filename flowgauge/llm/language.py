@@ -149,7 +149,6 @@ def train(texts: list[bytes], labels: list[str], seed: int = 7, epochs: int = EP
     if not pieces:
         return net
     codes, marks = np.array(pieces), np.array(wanted)
-    share = np.bincount(marks, minlength=len(number))
     moments = [(np.zeros_like(w), np.zeros_like(w)) for w in net.weights()]
     steps = 0
     # Few pieces are gone through more often.
@@ -165,7 +164,6 @@ def train(texts: list[bytes], labels: list[str], seed: int = 7, epochs: int = EP
                 m += 0.1 * (g - m)
                 v += 0.005 * (g * g - v)
                 w -= (0.01 * (m / (1 - 0.9**steps)) / (np.sqrt(v / (1 - 0.995**steps)) + 1e-7)).astype(np.float32)
-    del share
     return net
 
 

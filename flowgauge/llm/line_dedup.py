@@ -3,9 +3,8 @@
 A window is the shortest sequence of lines that reaches ``min_words`` words, once from
 each line on and once up to each line; every repeated passage of that length contains
 the windows of all its lines.  The smallest line hash of a window is its fingerprint
-(winnowing).  Only windows whose fingerprint occurs in another place can be repeated;
-those meet by fingerprint and content, and the first place of each in the order of
-documents is its original.  Windows from a line on and up to a line extend a match both
+(winnowing).  Windows meet by fingerprint and content, and the first place of each in the
+order of documents is its original.  Windows from a line on and up to a line extend a match both
 ways, to the last line that it shares.  Later windows join to runs, which are deleted.
 """
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowgauge.llm.common import col, id_bucket, ship
+from flowgauge.llm.common import col, id_bucket, ship, spread_sample
 
 ship(__name__)
 
@@ -127,7 +127,7 @@ def fit(
     marked = labels.select(col(id).alias("id"), col(label).cast("int").alias("label")).where(
         (id_bucket(F.col("id"), held_out[0]) != held_out[1]) & F.col("label").isNotNull()
     )
-    chosen = marked.orderBy(F.xxhash64("id"), "id").limit(sample)
+    chosen = spread_sample(marked, F.xxhash64("id"), sample)
     texts = docs.select(col(id).alias("id"), col(text).cast("binary").alias("text")).where(
         F.coalesce(F.octet_length("text"), F.lit(0)) <= TRAIN_BYTES
     )

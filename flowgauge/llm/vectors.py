@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowgauge.llm.common import ship
+from flowgauge.llm.common import ship, spread_sample
 
 ship(__name__)
 
-#: Vectors, of the smallest hashes, that an index is fitted on.
+#: Vectors that an index is fitted on at most.
 SAMPLE = 20_000
 
 
@@ -21,14 +23,14 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def sample(vectors: DataFrame, column: str = "vec", size: int = SAMPLE) -> np.ndarray:
-    """At most ``size`` vectors of the most frequent length, in an order that reruns repeat."""
-    rows = vectors.select(F.col(column).alias("v"), F.xxhash64(column).alias("place")).orderBy("place").limit(size).collect()
-    lengths = [len(r.v) for r in rows]
+def sample(vectors: DataFrame, id: str = "id", column: str = "vec", size: int = SAMPLE) -> np.ndarray:
+    """Different vectors among ``size`` rows of the smallest id hashes, of the most frequent length."""
+    rows = spread_sample(vectors, F.xxhash64(id), size).select(F.col(column).alias("v")).collect()
+    lengths = Counter(len(r.v) for r in rows)
     if not lengths:
         return np.zeros((0, 0))
-    most = max(sorted(set(lengths)), key=lengths.count)
-    return np.array([r.v for r in rows if len(r.v) == most], float)
+    most = max(lengths, key=lambda n: (lengths[n], n))
+    return np.unique(np.array([r.v for r in rows if len(r.v) == most], float), axis=0)
 
 
 def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
