@@ -103,7 +103,23 @@ def _turned(start: Column, mark: Column) -> Column:
     return F.when(start == 0, mark).otherwise(right.bitwiseOR(left))
 
 
-def close_pairs(marks: DataFrame, bits: int) -> DataFrame:
+def _index(marks: DataFrame, length: int) -> DataFrame:
+    """(fingerprint, start, turned, key): every fingerprint under the key of each start."""
+    starts = F.explode(F.array(*map(F.lit, range(SEGMENTS)))).alias("start")
+    turned = marks.select("*", starts).withColumn("turned", _turned(F.col("start"), F.col("fingerprint")))
+    return turned.withColumn("key", F.col("turned").bitwiseAND(F.lit((1 << (BITS * length)) - 1)))
+
+
+def crowds(marks: DataFrame, length: int, above: float) -> DataFrame:
+    """(fingerprint, start, key, n): fingerprints under keys of ``length`` segments that more than ``above`` share."""
+    index = _index(marks.select("fingerprint"), length).select("fingerprint", "start", "key")
+    crowded = cut(index.groupBy("start", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > above))
+    return index.join(crowded, ["start", "key"]).select("fingerprint", "start", "key", "n")
+
+
+def close_pairs(
+    marks: DataFrame, bits: int, apart_from: DataFrame | None = None, length: int | None = None
+) -> DataFrame:
     """(a, b) with a < b: different fingerprints of ``marks`` that differ in at most ``bits`` bits.
 
     ``marks`` has one column, ``fingerprint``, of distinct longs.  A pair may come more
@@ -111,24 +127,24 @@ def close_pairs(marks: DataFrame, bits: int) -> DataFrame:
     most 2, these come as stars instead of pairs: two fingerprints at most 2 apart have
     a neighbour at distance 1 or less in common, so linking all that share such a
     neighbour to the smallest of them links the same groups, with 65 rows for each.
+    With ``apart_from`` (of ``crowds``), pairs that share a crowded key are left out.
+    ``length`` is the number of segments that a key takes.
     """
     if not 0 < bits < SEGMENTS:
         raise ValueError(f"bits must be between 1 and {SEGMENTS - 1}")
-    length = _key_length(bits)
-    mask = (1 << (BITS * length)) - 1
-    starts = F.explode(F.array(*map(F.lit, range(SEGMENTS)))).alias("start")
-    index = (
-        marks.select("fingerprint", starts)
-        .withColumn("turned", _turned(F.col("start"), F.col("fingerprint")))
-        .withColumn("key", F.col("turned").bitwiseAND(F.lit(mask)))
-    )
-    stars = None
-    if bits <= 2:
-        hot = cut(index.groupBy("start", "key").agg(F.count(F.lit(1)).alias("n")).where(f"n > {HOT_KEY}"))
-        if not hot.isEmpty():
-            crowded = index.join(hot.select("start", "key"), ["start", "key"], "left_semi")
+    length, stars = length or _key_length(bits), None
+    hot = F.lit(0).alias("hot")
+    if apart_from is not None:
+        starts = F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("start")))
+        masks = apart_from.groupBy("fingerprint").agg(starts.alias("hot"))
+        marks = marks.join(masks, "fingerprint", "left")
+        hot = F.coalesce("hot", F.lit(0)).alias("hot")
+    index = _index(marks.select("fingerprint", hot), length)
+    if bits <= 2 and apart_from is None:
+        crowded = cut(crowds(marks, length, HOT_KEY))
+        if not crowded.isEmpty():
             stars = _stars(crowded.select("fingerprint").distinct())
-            index = index.join(hot.select("start", "key"), ["start", "key"], "left_anti")
+            index = index.join(crowded.select("start", "key").distinct(), ["start", "key"], "left_anti")
     patterns = _patterns(bits, length)
     probe = index
     if len(patterns) > 1:
@@ -142,6 +158,11 @@ def close_pairs(marks: DataFrame, bits: int) -> DataFrame:
     for n, budget in enumerate(_budgets(bits), 1):
         part = apart.bitwiseAND(F.lit((1 << (BITS * n)) - 1)) if n < SEGMENTS else apart
         within &= F.bit_count(part) <= budget
+    if apart_from is not None:
+        whole = F.col("a.fingerprint").bitwiseXOR(F.col("b.fingerprint"))
+        for start in range(SEGMENTS):
+            key = _turned(F.lit(start), whole).bitwiseAND(F.lit((1 << (BITS * length)) - 1))
+            within &= ~((key == 0) & (F.col("a.hot").bitwiseAND(F.lit(1 << start)) != 0))
     pairs = a.join(b, within).select(F.col("a.fingerprint").alias("a"), F.col("b.fingerprint").alias("b"))
     return pairs.unionByName(stars) if stars is not None else pairs
 
@@ -185,6 +206,8 @@ def simhash_groups(
 
 #: Shingles of two words mark a text: their fingerprints move less with a changed word than longer ones do.
 MARK_WORDS, MARK_BITS = 2, 6
+#: Fingerprints under one key beyond which texts are compared in blocks, and the texts of a block.
+CROWD_KEY, CROWD_BLOCK = 64, 128
 
 
 def _marked(docs: DataFrame, id: str, text: str) -> DataFrame:
@@ -207,21 +230,27 @@ def _marked(docs: DataFrame, id: str, text: str) -> DataFrame:
     return narrow.mapInArrow(run, schema)
 
 
-def _alike(docs: DataFrame, pairs: DataFrame, id: str, text: str, words: int, least: float) -> DataFrame:
-    """Those of the pairs (a, b) of nodes whose sets of shingles have a Jaccard similarity of ``least`` or more."""
+def _sets(docs: DataFrame, nodes: DataFrame, id: str, text: str, words: int) -> DataFrame:
+    """(node, set): the sorted hashes of each node's different shingles, 8 bytes each."""
     node = F.struct(col(id).alias("id"), F.xxhash64(col(text)).alias("mark")).alias("node")
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = docs.select(node, col(text).cast("binary").alias("text")).join(needed, "node", "left_semi")
+    texts = docs.select(node, col(text).cast("binary").alias("text")).join(nodes.distinct(), "node", "left_semi")
 
     def run(batches):
         for batch in batches:
-            sets = [np.unique(np.concatenate([*shingle_hashes(t.as_py(), words), np.zeros(0, "<u8")])) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "set"]
-            )
+            for i in range(0, batch.num_rows, 500):
+                part = batch.slice(i, 500)
+                sets = [np.unique(np.concatenate([*shingle_hashes(t.as_py(), words), np.zeros(0, "<u8")])) for t in part.column(1)]
+                packed = pa.array([s.tobytes() for s in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), packed], ["node", "set"])
 
     schema = T.StructType([texts.schema["node"]]).add("set", "binary")
-    sets = texts.mapInArrow(run, schema).dropDuplicates(["node"])
+    return texts.mapInArrow(run, schema).dropDuplicates(["node"])
+
+
+def _alike(docs: DataFrame, pairs: DataFrame, id: str, text: str, words: int, least: float) -> DataFrame:
+    """Those of the pairs (a, b) of nodes whose sets of shingles have a Jaccard similarity of ``least`` or more."""
+    nodes = pairs.select(F.col("a").alias("node")).distinct().unionByName(pairs.select(F.col("b").alias("node")).distinct())
+    sets = _sets(docs, nodes, id, text, words)
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b"
     )
@@ -238,6 +267,47 @@ def _alike(docs: DataFrame, pairs: DataFrame, id: str, text: str, words: int, le
     return both.select("a", "b", "set_a", "set_b").mapInArrow(judge, pairs.select("a", "b").schema)
 
 
+def _compare(tile: pa.Table, least: float) -> pa.Table:
+    """A forest (a, b) of the links among the texts of a tile, from products of their incidence matrices."""
+    sets = [np.frombuffer(v.as_py(), "<u8") for v in tile["set"]]
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    _, place = np.unique(np.concatenate(sets), return_inverse=True)
+    order = np.argsort(place, kind="stable")
+    place, owner = place[order], np.repeat(np.arange(len(sets)), sizes)[order]
+    shared = np.zeros((len(sets), len(sets)))
+    for at in range(0, int(place[-1]) + 1 if len(place) else 0, 8192):
+        part = slice(*np.searchsorted(place, [at, at + 8192]))
+        has = np.zeros((len(sets), 8192), np.float32)
+        has[owner[part], place[part] - at] = 1
+        shared += has @ has.T
+    linked = shared >= least * (sizes[:, None] + sizes[None, :] - shared)
+    root, open_ = np.arange(len(sets)), np.ones(len(sets), bool)
+    for start in range(len(sets)):
+        front = np.array([start])[open_[[start]]]
+        while len(front):
+            open_[front], root[front] = False, start
+            front = np.flatnonzero(linked[front].any(0) & open_)
+    node, moved = tile["node"].combine_chunks(), np.flatnonzero(root != np.arange(len(sets)))
+    return pa.table({"a": node.take(pa.array(root[moved])), "b": node.take(pa.array(moved))})
+
+
+def _crowd_links(docs: DataFrame, members: DataFrame, id: str, text: str, words: int, least: float) -> DataFrame:
+    """Links (a, b) among nodes under one crowded key: cut into blocks, each pair of blocks compared in one place.
+
+    ``members`` has (node, start, key, block, blocks).
+    """
+    others = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda x: F.struct(F.least(x, F.col("block")).alias("i"), F.greatest(x, F.col("block")).alias("j")),
+    )
+    spread = members.select("node", "start", "key", F.explode(others).alias("tile"))
+    sets = _sets(docs, members.select("node"), id, text, words)
+    whole = spread.join(sets, "node").select("node", "start", "key", "tile.i", "tile.j", "set")
+    kind = members.schema["node"].dataType
+    schema = T.StructType().add("a", kind).add("b", kind)
+    return whole.groupBy("start", "key", "i", "j").applyInArrow(lambda tile: _compare(tile, least), schema)
+
+
 def drop_near_duplicates(
     docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5, least: float = 0.8
 ) -> DataFrame:
@@ -246,8 +316,9 @@ def drop_near_duplicates(
     Texts are candidates if their fingerprints over shingles of ``MARK_WORDS`` words
     differ in at most ``MARK_BITS`` bits, and link if the Jaccard similarity of their
     shingles of ``words`` words is ``least`` or more.  Groups are connected components.
-    Texts equal but for case and white space are copies and are compared once.  Each
-    text is first compared with its smallest candidate; after that only candidates that
+    Texts equal but for case and white space are copies and are compared once.  Texts
+    whose fingerprints share a crowded key are compared in blocks, without pairs.  Each
+    other text is first compared with its smallest candidate; after that only candidates that
     are not yet in one group are.  Texts without a word, null ones too, are copies of
     one another; so are rows that agree in id and text.
     """
@@ -255,7 +326,21 @@ def drop_near_duplicates(
     distinct = rows.groupBy("copy", "fingerprint").agg(F.min("node").alias("node"))
     marks = cut(distinct.groupBy("fingerprint").agg(F.min("node").alias("least")))
     of = lambda x: marks.select(F.col("fingerprint").alias(x), F.col("least").alias(f"{x}_node"))
-    near = close_pairs(marks.select("fingerprint"), MARK_BITS).distinct().join(of("a"), "a").join(of("b"), "b")
+    # Longer keys for more fingerprints; a crowd is far denser than chance would have it.
+    n = marks.count()
+    length = 2 if n <= 1 << 21 else 3
+    crowded = cut(crowds(marks, length, max(CROWD_KEY, 8.0 * n / (1 << BITS * length))))
+    blocks = F.ceil(F.col("n") / CROWD_BLOCK).cast("int")
+    members = crowded.join(marks, "fingerprint").select(
+        F.col("least").alias("node"),
+        "start",
+        "key",
+        blocks.alias("blocks"),
+        F.pmod(F.xxhash64("fingerprint"), blocks).cast("int").alias("block"),
+    )
+    together = cut(_crowd_links(docs, members, id, text, words, least))
+    apart = close_pairs(marks.select("fingerprint"), MARK_BITS, crowded, length)
+    near = apart.distinct().join(of("a"), "a").join(of("b"), "b")
     same = distinct.join(marks, "fingerprint").where("node > least")
     candidates = cut(
         near.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"))
@@ -263,7 +348,7 @@ def drop_near_duplicates(
     )
     nearest = candidates.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     first = cut(_alike(docs, nearest, id, text, words, least))
-    groups = components(first)
+    groups = components(first.unionByName(together))
     group = lambda x: groups.select(F.col("node").alias(x), F.col("component").alias(f"{x}_group"))
     open_ = (
         candidates.join(group("a"), "a", "left")
@@ -272,7 +357,7 @@ def drop_near_duplicates(
         .select("a", "b")
         .join(nearest, ["a", "b"], "left_anti")
     )
-    edges = first.unionByName(cut(_alike(docs, cut(open_), id, text, words, least)))
+    edges = first.unionByName(together).unionByName(cut(_alike(docs, cut(open_), id, text, words, least)))
     dropped = components(edges).where("node <> component").select("node")
     # What goes: texts linked to an earlier one, and copies but for the first.
     kept = distinct.select("node").join(dropped, "node", "left_anti")

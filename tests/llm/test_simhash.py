@@ -55,8 +55,8 @@ def test_empty_table(docs):
     assert simhash.simhash_groups(docs()).count() == 0
 
 
-@pytest.mark.parametrize("bits", [1, 2, 3, 6])
-def test_pairs_equal_brute_force(spark, bits, monkeypatch):
+@pytest.mark.parametrize(("bits", "length"), [(1, None), (2, None), (3, None), (6, None), (6, 3)])
+def test_pairs_equal_brute_force(spark, bits, length):
     rng = random.Random(bits)
     base = [rng.getrandbits(64) for _ in range(40)]
     marks = set(base)
@@ -65,7 +65,7 @@ def test_pairs_equal_brute_force(spark, bits, monkeypatch):
             b ^= 1 << rng.randrange(64)
         marks.add(b)
     marks = sorted(m - (1 << 64 if m >> 63 else 0) for m in marks)
-    found = simhash.close_pairs(spark.createDataFrame([(m,) for m in marks], "fingerprint long"), bits)
+    found = simhash.close_pairs(spark.createDataFrame([(m,) for m in marks], "fingerprint long"), bits, length=length)
     want = {(a, b) for a in marks for b in marks if a < b and ((a ^ b) & (2**64 - 1)).bit_count() <= bits}
     assert {tuple(r) for r in found.collect()} == want
 
@@ -102,5 +102,31 @@ def test_near_duplicates_stay_once(docs):
     assert all(r["size"] == 1 and r.node == "x" for r in kept)
 
 
+def test_crowds_of_near_duplicates(docs, monkeypatch):
+    """Blocks compare all that share a key, pairs only what is near in bits too: what stays lies between brute force and pairs."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(3000)]
+    rows = []
+    for group in range(2):
+        base = [rng.choice(words) for _ in range(200)]
+        for i in range(60):
+            text = list(base)
+            for _ in range(rng.randrange(1, 7)):
+                text[rng.randrange(200)] = rng.choice(words)
+            rows.append((1000 * group + i, " ".join(text)))
+    df = docs(*rows)
+    sets = {d: {tuple(t.split()[i : i + 5]) for i in range(196)} for d, t in rows}
+    from tests.llm.test_graph import brute
+
+    alike = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    group = brute(alike)
+    truth = {d for d in sets if group.get(d, d) == d}
+    pairs = {r.doc_id for r in simhash.drop_near_duplicates(df).collect()}
+    monkeypatch.setattr(simhash, "CROWD_KEY", 5)
+    monkeypatch.setattr(simhash, "CROWD_BLOCK", 16)
+    blocks = {r.doc_id for r in simhash.drop_near_duplicates(df).collect()}
+    assert truth <= blocks <= pairs
+
+
 def test_near_duplicates_of_nothing(docs):
     assert simhash.drop_near_duplicates(docs()).count() == 0
