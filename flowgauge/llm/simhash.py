@@ -79,15 +79,19 @@ def _budgets(bits: int) -> list[int]:
     return [n * bits // SEGMENTS for n in range(1, SEGMENTS + 1)]
 
 
-def _patterns(bits: int, length: int) -> list[int]:
-    """Differences that the first ``length`` segments of a chain may have, as numbers to xor."""
-    budgets, found = _budgets(bits), []
-    by_weight = [[x for x in range(1 << BITS) if x.bit_count() == w] for w in range(budgets[length - 1] + 1)]
+def _masks(bits: int, length: int) -> list[int]:
+    """Parts of a key of which the first ``length`` segments of a chain share one at least.
+
+    A segment with no difference is shared whole, one with a single difference in one of its halves.
+    """
+    half, budgets, found = BITS // 2, _budgets(bits), set()
     for weights in product(range(budgets[length - 1] + 1), repeat=length):
         if all(sum(weights[: i + 1]) <= budgets[i] for i in range(length)):
-            for parts in product(*(by_weight[w] for w in weights)):
-                found.append(sum(x << (BITS * i) for i, x in enumerate(parts)))
-    return found
+            halves = [[3] if w == 0 else [1, 2] if w == 1 else [0] for w in weights]
+            for parts in product(*halves):
+                at = [BITS * i + half * h for i, p in enumerate(parts) for h in (0, 1) if p >> h & 1]
+                found.add(sum(((1 << half) - 1) << x for x in at))
+    return sorted(m for m in found if not any(x != m and x & m == x for x in found))
 
 
 def _key_length(bits: int) -> int:
@@ -110,16 +114,31 @@ def _index(marks: DataFrame, length: int) -> DataFrame:
     return turned.withColumn("key", F.col("turned").bitwiseAND(F.lit((1 << (BITS * length)) - 1)))
 
 
-def crowds(marks: DataFrame, length: int, above: float) -> DataFrame:
-    """(fingerprint, start, key, n): fingerprints under keys of ``length`` segments that more than ``above`` share."""
-    index = _index(marks.select("fingerprint"), length).select("fingerprint", "start", "key")
-    crowded = cut(index.groupBy("start", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > above))
-    return index.join(crowded, ["start", "key"]).select("fingerprint", "start", "key", "n")
+def _crowded(index: DataFrame, above: float) -> DataFrame:
+    """(start, key): keys that more than ``above`` rows of an index share."""
+    return index.groupBy("start", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > above).select("start", "key")
 
 
-def close_pairs(
-    marks: DataFrame, bits: int, apart_from: DataFrame | None = None, length: int | None = None
-) -> DataFrame:
+def _chain(apart: Column, bits: int) -> Column:
+    """Whether the differences of a turned pair keep within every budget."""
+    within = F.lit(True)
+    for n, budget in enumerate(_budgets(bits), 1):
+        part = apart.bitwiseAND(F.lit((1 << (BITS * n)) - 1)) if n < SEGMENTS else apart
+        within &= F.bit_count(part) <= budget
+    return within
+
+
+def _cells(index: DataFrame, bits: int, length: int) -> DataFrame:
+    """Every row of an index under each shared part of its key, as ``cell``."""
+    shift = F.call_function("shiftleft", F.col("start").cast("long"), F.lit(40))
+    cells = [
+        F.col("key").bitwiseAND(F.lit(m)).bitwiseOR(F.lit(i << 32)).bitwiseOR(shift)
+        for i, m in enumerate(_masks(bits, length))
+    ]
+    return index.withColumn("cell", F.explode(F.array(*cells)))
+
+
+def close_pairs(marks: DataFrame, bits: int, length: int | None = None) -> DataFrame:
     """(a, b) with a < b: different fingerprints of ``marks`` that differ in at most ``bits`` bits.
 
     ``marks`` has one column, ``fingerprint``, of distinct longs.  A pair may come more
@@ -127,42 +146,21 @@ def close_pairs(
     most 2, these come as stars instead of pairs: two fingerprints at most 2 apart have
     a neighbour at distance 1 or less in common, so linking all that share such a
     neighbour to the smallest of them links the same groups, with 65 rows for each.
-    With ``apart_from`` (of ``crowds``), pairs that share a crowded key are left out.
     ``length`` is the number of segments that a key takes.
     """
     if not 0 < bits < SEGMENTS:
         raise ValueError(f"bits must be between 1 and {SEGMENTS - 1}")
     length, stars = length or _key_length(bits), None
-    hot = F.lit(0).alias("hot")
-    if apart_from is not None:
-        starts = F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("start")))
-        masks = apart_from.groupBy("fingerprint").agg(starts.alias("hot"))
-        marks = marks.join(masks, "fingerprint", "left")
-        hot = F.coalesce("hot", F.lit(0)).alias("hot")
-    index = _index(marks.select("fingerprint", hot), length)
-    if bits <= 2 and apart_from is None:
-        crowded = cut(crowds(marks, length, HOT_KEY))
+    index = _index(marks.select("fingerprint"), length)
+    if bits <= 2:
+        crowded = cut(_crowded(index, HOT_KEY))
         if not crowded.isEmpty():
-            stars = _stars(crowded.select("fingerprint").distinct())
-            index = index.join(crowded.select("start", "key").distinct(), ["start", "key"], "left_anti")
-    patterns = _patterns(bits, length)
-    probe = index
-    if len(patterns) > 1:
-        probe = index.withColumn("differs", F.explode(F.array(*map(F.lit, patterns)))).withColumn(
-            "key", F.col("key").bitwiseXOR(F.col("differs"))
-        )
-    a, b = index.alias("a"), probe.alias("b")
-    apart = F.col("a.turned").bitwiseXOR(F.col("b.turned"))
-    within = (F.col("a.start") == F.col("b.start")) & (F.col("a.key") == F.col("b.key"))
-    within &= F.col("a.fingerprint") < F.col("b.fingerprint")
-    for n, budget in enumerate(_budgets(bits), 1):
-        part = apart.bitwiseAND(F.lit((1 << (BITS * n)) - 1)) if n < SEGMENTS else apart
-        within &= F.bit_count(part) <= budget
-    if apart_from is not None:
-        whole = F.col("a.fingerprint").bitwiseXOR(F.col("b.fingerprint"))
-        for start in range(SEGMENTS):
-            key = _turned(F.lit(start), whole).bitwiseAND(F.lit((1 << (BITS * length)) - 1))
-            within &= ~((key == 0) & (F.col("a.hot").bitwiseAND(F.lit(1 << start)) != 0))
+            stars = _stars(index.join(crowded, ["start", "key"]).select("fingerprint").distinct())
+            index = index.join(crowded, ["start", "key"], "left_anti")
+    index = _cells(index, bits, length).select("fingerprint", "turned", "cell")
+    a, b = index.alias("a"), index.alias("b")
+    within = (F.col("a.cell") == F.col("b.cell")) & (F.col("a.fingerprint") < F.col("b.fingerprint"))
+    within &= _chain(F.col("a.turned").bitwiseXOR(F.col("b.turned")), bits)
     pairs = a.join(b, within).select(F.col("a.fingerprint").alias("a"), F.col("b.fingerprint").alias("b"))
     return pairs.unionByName(stars) if stars is not None else pairs
 
@@ -206,12 +204,38 @@ def simhash_groups(
 
 #: Shingles of two words mark a text: their fingerprints move less with a changed word than longer ones do.
 MARK_WORDS, MARK_BITS = 2, 6
-#: Fingerprints under one key beyond which texts are compared in blocks, and the texts of a block.
+#: Independent fingerprints of a text; a pair is a candidate if one of them is near.
+MARKS = 1
+#: Texts under one key beyond which they are compared in blocks, and the texts of a block.
 CROWD_KEY, CROWD_BLOCK = 64, 128
 
 
-def _marked(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """(node, copy, fingerprint): node is id and text hash, copy a hash of the text's words."""
+def _remixed(hashes: np.ndarray, turn: int) -> np.ndarray:
+    """Other hashes for each ``turn`` but 0, by the mixing function of SplitMix64."""
+    if not turn:
+        return hashes
+    x = hashes + np.uint64(turn * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (x ^ (x >> np.uint64(31))).astype("<u8")
+
+
+def text_marks(text: bytes | None) -> list[int]:
+    """``MARKS`` fingerprints of a text; the first is ``fingerprint`` over ``MARK_WORDS`` words."""
+    ones, n = np.zeros((MARKS, 64), np.int64), 0
+    for h in shingle_hashes(text, MARK_WORDS):
+        n += len(h)
+        for turn in range(MARKS):
+            bits = np.unpackbits(_remixed(h, turn).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            ones[turn] += bits.sum(0, dtype=np.int32)
+    return np.packbits(ones * 2 > n, axis=1, bitorder="little").view("<i8")[:, 0].tolist()
+
+
+def _texts(docs: DataFrame, id: str, text: str) -> DataFrame:
+    """(node, no, marks) of every different text: node is its smallest id and text hash, no a number.
+
+    Texts with the same words are copies, and one here.
+    """
     import xxhash
 
     node = F.struct(col(id).alias("id"), F.xxhash64(col(text)).alias("mark"))
@@ -221,19 +245,19 @@ def _marked(docs: DataFrame, id: str, text: str) -> DataFrame:
         for batch in batches:
             texts = batch.column(1).to_pylist()
             same = [xxhash.xxh3_128(b" ".join((t or b"").lower().split())).digest() for t in texts]
-            marks = [fingerprint(t, MARK_WORDS) for t in texts]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(same, pa.binary()), pa.array(marks, pa.int64())], ["node", "copy", "fingerprint"]
-            )
+            marks = pa.array([text_marks(t) for t in texts], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(same, pa.binary()), marks], ["node", "copy", "marks"])
 
-    schema = T.StructType([narrow.schema["node"]]).add("copy", "binary").add("fingerprint", "long")
-    return narrow.mapInArrow(run, schema)
+    schema = T.StructType([narrow.schema["node"]]).add("copy", "binary").add("marks", T.ArrayType(T.LongType()))
+    distinct = narrow.mapInArrow(run, schema).groupBy("copy").agg(F.min("node").alias("node"), F.first("marks").alias("marks"))
+    return cut(distinct.select("node", F.monotonically_increasing_id().alias("no"), "marks"))
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, id: str, text: str, words: int) -> DataFrame:
-    """(node, set): the sorted hashes of each node's different shingles, 8 bytes each."""
+def _sets(docs: DataFrame, texts: DataFrame, numbers: DataFrame, id: str, text: str, words: int) -> DataFrame:
+    """(no, set): the sorted hashes of the different shingles of the texts ``numbers``, 8 bytes each."""
     node = F.struct(col(id).alias("id"), F.xxhash64(col(text)).alias("mark")).alias("node")
-    texts = docs.select(node, col(text).cast("binary").alias("text")).join(nodes.distinct(), "node", "left_semi")
+    wanted = texts.select("node", "no").join(numbers.select("no").distinct(), "no", "left_semi")
+    found = docs.select(node, col(text).cast("binary").alias("text")).join(wanted, "node").select("no", "text")
 
     def run(batches):
         for batch in batches:
@@ -241,18 +265,17 @@ def _sets(docs: DataFrame, nodes: DataFrame, id: str, text: str, words: int) ->
                 part = batch.slice(i, 500)
                 sets = [np.unique(np.concatenate([*shingle_hashes(t.as_py(), words), np.zeros(0, "<u8")])) for t in part.column(1)]
                 packed = pa.array([s.tobytes() for s in sets], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column(0), packed], ["node", "set"])
+                yield pa.RecordBatch.from_arrays([part.column(0), packed], ["no", "set"])
 
-    schema = T.StructType([texts.schema["node"]]).add("set", "binary")
-    return texts.mapInArrow(run, schema).dropDuplicates(["node"])
+    return found.mapInArrow(run, "no long, set binary").dropDuplicates(["no"])
 
 
-def _alike(docs: DataFrame, pairs: DataFrame, id: str, text: str, words: int, least: float) -> DataFrame:
-    """Those of the pairs (a, b) of nodes whose sets of shingles have a Jaccard similarity of ``least`` or more."""
-    nodes = pairs.select(F.col("a").alias("node")).distinct().unionByName(pairs.select(F.col("b").alias("node")).distinct())
-    sets = _sets(docs, nodes, id, text, words)
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a").join(
-        sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b"
+def _alike(docs: DataFrame, texts: DataFrame, pairs: DataFrame, id: str, text: str, words: int, least: float) -> DataFrame:
+    """Those of the pairs (a, b) whose sets of shingles have a Jaccard similarity of ``least`` or more."""
+    numbers = pairs.select(F.col("a").alias("no")).unionByName(pairs.select(F.col("b").alias("no")))
+    sets = _sets(docs, texts, numbers, id, text, words)
+    both = pairs.join(sets.select(F.col("no").alias("a"), F.col("set").alias("set_a")), "a").join(
+        sets.select(F.col("no").alias("b"), F.col("set").alias("set_b")), "b"
     )
 
     def judge(batches):
@@ -264,7 +287,7 @@ def _alike(docs: DataFrame, pairs: DataFrame, id: str, text: str, words: int, le
                 good.append(shared >= least * (len(x) + len(y) - shared))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return both.select("a", "b", "set_a", "set_b").mapInArrow(judge, pairs.select("a", "b").schema)
+    return both.select("a", "b", "set_a", "set_b").mapInArrow(judge, "a long, b long")
 
 
 def _compare(tile: pa.Table, least: float) -> pa.Table:
@@ -287,67 +310,66 @@ def _compare(tile: pa.Table, least: float) -> pa.Table:
         while len(front):
             open_[front], root[front] = False, start
             front = np.flatnonzero(linked[front].any(0) & open_)
-    node, moved = tile["node"].combine_chunks(), np.flatnonzero(root != np.arange(len(sets)))
-    return pa.table({"a": node.take(pa.array(root[moved])), "b": node.take(pa.array(moved))})
+    no, moved = tile["no"].combine_chunks(), np.flatnonzero(root != np.arange(len(sets)))
+    return pa.table({"a": no.take(pa.array(root[moved])), "b": no.take(pa.array(moved))})
 
 
-def _crowd_links(docs: DataFrame, members: DataFrame, id: str, text: str, words: int, least: float) -> DataFrame:
-    """Links (a, b) among nodes under one crowded key: cut into blocks, each pair of blocks compared in one place.
+def _crowd_links(docs: DataFrame, texts: DataFrame, members: DataFrame, id: str, text: str, words: int, least: float) -> DataFrame:
+    """Links (a, b) among texts under one crowded key: cut into blocks, each pair of blocks compared in one place.
 
-    ``members`` has (node, start, key, block, blocks).
+    ``members`` has (no, group, start, key).  A group that fills a block has blocks of its
+    own, which are not compared with one another.
     """
-    others = F.transform(
-        F.sequence(F.lit(0), F.col("blocks") - 1),
-        lambda x: F.struct(F.least(x, F.col("block")).alias("i"), F.greatest(x, F.col("block")).alias("j")),
-    )
-    spread = members.select("node", "start", "key", F.explode(others).alias("tile"))
-    sets = _sets(docs, members.select("node"), id, text, words)
-    whole = spread.join(sets, "node").select("node", "start", "key", "tile.i", "tile.j", "set")
-    kind = members.schema["node"].dataType
-    schema = T.StructType().add("a", kind).add("b", kind)
-    return whole.groupBy("start", "key", "i", "j").applyInArrow(lambda tile: _compare(tile, least), schema)
-
-
-def drop_near_duplicates(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5, least: float = 0.8
-) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: of each group the first by id stays.
-
-    Texts are candidates if their fingerprints over shingles of ``MARK_WORDS`` words
-    differ in at most ``MARK_BITS`` bits, and link if the Jaccard similarity of their
-    shingles of ``words`` words is ``least`` or more.  Groups are connected components.
-    Texts equal but for case and white space are copies and are compared once.  Texts
-    whose fingerprints share a crowded key are compared in blocks, without pairs.  Each
-    other text is first compared with its smallest candidate; after that only candidates that
-    are not yet in one group are.  Texts without a word, null ones too, are copies of
-    one another; so are rows that agree in id and text.
+    key = ["start", "key"]
+    sizes = members.groupBy(*key, "group").agg(F.count(F.lit(1)).alias("n"))
+    own = F.col("n") >= CROWD_BLOCK
+    sizes = sizes.withColumn("of", F.when(own, F.col("group")).otherwise(F.lit(-1)))
+    blocks = sizes.groupBy(*key, "of").agg(F.ceil(F.sum("n") / CROWD_BLOCK).cast("long").alias("blocks"))
+    placed = members.join(sizes.select(*key, "group", "of"), [*key, "group"]).join(blocks, [*key, "of"])
+    placed = cut(placed.select(*key, "no", "of", F.pmod(F.xxhash64("no"), F.col("blocks")).alias("block")))
+    known = placed.groupBy(*key, "of", "block").agg(F.count(F.lit(1)).alias("n"))
+    at = F.struct("of", "block")
+    i, j = known.select(*key, at.alias("i")), known.select(*key, at.alias("j"))
+    tiles = i.join(j, key).where((F.col("i") <= F.col("j")) & ((F.col("i.of") == -1) | (F.col("i.of") != F.col("j.of"))))
+    ends = F.explode(F.array_distinct(F.array("i", "j"))).alias("at")
+    spread = placed.select(*key, "no", at.alias("at")).join(tiles.select(*key, "i", "j", ends), [*key, "at"])
+    sets = _sets(docs, texts, placed, id, text, words).join(texts.select("no", "marks"), "no")
+    whole = spread.join(sets, "no").select("no", *key, F.xxhash64("i", "j").alias("tile"), "set", "marks")
+    return whole.groupBy(*key, "tile").applyInArrow(lambda tile: _compare(tile, least), "a long, b long")
+
+
+def _links(docs: DataFrame, texts: DataFrame, marks: DataFrame, id: str, text: str, words: int, least: float, n: int) -> DataFrame:
+    """Links (a, b) that join the groups of texts with a near fingerprint and alike shingles.
+
+    ``marks`` has (no, group, mark, fingerprint); ``mark`` is the number of the fingerprint.
+    Texts of one group are linked already.
     """
-    rows = cut(_marked(docs, id, text))
-    distinct = rows.groupBy("copy", "fingerprint").agg(F.min("node").alias("node"))
-    marks = cut(distinct.groupBy("fingerprint").agg(F.min("node").alias("least")))
-    of = lambda x: marks.select(F.col("fingerprint").alias(x), F.col("least").alias(f"{x}_node"))
-    # Longer keys for more fingerprints; a crowd is far denser than chance would have it.
-    n = marks.count()
+    # Longer keys for more texts; a crowd is far denser than chance would have it.
     length = 2 if n <= 1 << 21 else 3
-    crowded = cut(crowds(marks, length, max(CROWD_KEY, 8.0 * n / (1 << BITS * length))))
-    blocks = F.ceil(F.col("n") / CROWD_BLOCK).cast("int")
-    members = crowded.join(marks, "fingerprint").select(
-        F.col("least").alias("node"),
-        "start",
-        "key",
-        blocks.alias("blocks"),
-        F.pmod(F.xxhash64("fingerprint"), blocks).cast("int").alias("block"),
-    )
-    together = cut(_crowd_links(docs, members, id, text, words, least))
-    apart = close_pairs(marks.select("fingerprint"), MARK_BITS, crowded, length)
-    near = apart.distinct().join(of("a"), "a").join(of("b"), "b")
-    same = distinct.join(marks, "fingerprint").where("node > least")
-    candidates = cut(
-        near.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"))
-        .unionByName(same.select(F.col("least").alias("a"), F.col("node").alias("b")))
-    )
+    # The number of the fingerprint is part of the key, above the bits of its segments.
+    full = F.col("key").bitwiseOR(F.call_function("shiftleft", F.col("mark").cast("long"), F.lit(48)))
+    index = _index(marks, length).withColumn("key", full)
+    crowded = cut(_crowded(index, max(CROWD_KEY, 8.0 * n / (1 << BITS * length))))
+    members = cut(index.join(crowded, ["start", "key"]).select("no", "group", "mark", "start", "key"))
+    together = cut(_crowd_links(docs, texts, members.drop("mark"), id, text, words, least))
+    hot = F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("start"))).alias("hot")
+    masked = marks.join(members.groupBy("no", "mark").agg(hot), ["no", "mark"], "left")
+    # Bit i of ``hot``: the key i segments on is crowded.
+    twice = F.coalesce("hot", F.lit(0)) * F.lit((1 << SEGMENTS) + 1)
+    probe = _index(masked, length).withColumn("hot", F.call_function("shiftright", twice, F.col("start")))
+    of_mark = F.call_function("shiftleft", F.col("mark").cast("long"), F.lit(48))
+    probe = _cells(probe, MARK_BITS, length).select("no", "group", "turned", "hot", F.col("cell").bitwiseOR(of_mark).alias("cell"))
+    a, b = probe.alias("a"), probe.alias("b")
+    apart = F.col("a.turned").bitwiseXOR(F.col("b.turned"))
+    within = (F.col("a.cell") == F.col("b.cell")) & (F.col("a.no") < F.col("b.no")) & (F.col("a.group") != F.col("b.group"))
+    within &= _chain(apart, MARK_BITS)
+    for i in range(SEGMENTS):
+        key = _turned(F.lit(i), apart).bitwiseAND(F.lit((1 << (BITS * length)) - 1))
+        within &= ~((key == 0) & (F.col("a.hot").bitwiseAND(F.lit(1 << i)) != 0))
+    pairs = a.join(b, within).select(F.col("a.no").alias("a"), F.col("b.no").alias("b"))
+    candidates = cut(pairs.distinct())
     nearest = candidates.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    first = cut(_alike(docs, nearest, id, text, words, least))
+    first = cut(_alike(docs, texts, nearest, id, text, words, least))
     groups = components(first.unionByName(together))
     group = lambda x: groups.select(F.col("node").alias(x), F.col("component").alias(f"{x}_group"))
     open_ = (
@@ -357,10 +379,38 @@ def drop_near_duplicates(
         .select("a", "b")
         .join(nearest, ["a", "b"], "left_anti")
     )
-    edges = first.unionByName(together).unionByName(cut(_alike(docs, cut(open_), id, text, words, least)))
-    dropped = components(edges).where("node <> component").select("node")
-    # What goes: texts linked to an earlier one, and copies but for the first.
-    kept = distinct.select("node").join(dropped, "node", "left_anti")
+    return first.unionByName(together).unionByName(cut(_alike(docs, texts, cut(open_), id, text, words, least)))
+
+
+def drop_near_duplicates(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5, least: float = 0.8
+) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each group the first by id stays.
+
+    A text has ``MARKS`` fingerprints over shingles of ``MARK_WORDS`` words.  Two texts link
+    if one of them differs in at most ``MARK_BITS`` bits and the Jaccard similarity of their
+    shingles of ``words`` words is ``least`` or more.  Groups are connected components.
+    Texts equal but for case and white space are copies and are compared once.  Texts
+    whose fingerprints share a crowded key are compared in blocks, without pairs, by the same
+    rule.  Each other text is first compared with its smallest candidate; after that only
+    candidates that are not yet in one group are.  The first fingerprint's groups are found
+    first; the others only look for links between groups.  Texts without a word, null ones
+    too, are copies of one another; so are rows that agree in id and text.
+    """
+    texts = _texts(docs, id, text)
+    n = texts.count()
+    mark = F.posexplode("marks").alias("mark", "fingerprint")
+    marks = texts.select("no", mark)
+    first = marks.where("mark = 0").withColumn("group", F.col("no"))
+    edges = cut(_links(docs, texts, first, id, text, words, least, n))
+    groups = components(edges)
+    rest = marks.where("mark > 0").join(groups.withColumnRenamed("node", "no"), "no", "left")
+    rest = rest.select("no", "mark", "fingerprint", F.coalesce("component", "no").alias("group"))
+    more = cut(_links(docs, texts, rest, id, text, words, least, n))
+    groups = components(edges.unionByName(more)).withColumnRenamed("node", "no")
+    # Numbers follow no order; the first of a group is its smallest node.
+    named = texts.select("node", "no").join(groups, "no", "left")
+    kept = named.groupBy(F.coalesce("component", "no")).agg(F.min("node").alias("node"))
     own, mark = fresh("own_id", docs), fresh("own_mark", docs)
     marked = docs.withColumn(mark, F.xxhash64(col(text))).withColumn(own, col(id))
     keys = kept.select(F.col("node.id").alias("kept_id"), F.col("node.mark").alias("kept_mark"))

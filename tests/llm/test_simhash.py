@@ -130,3 +130,38 @@ def test_crowds_of_near_duplicates(docs, monkeypatch):
 
 def test_near_duplicates_of_nothing(docs):
     assert simhash.drop_near_duplicates(docs()).count() == 0
+
+
+def kept_by_brute_force(rows, least=0.8, words=5):
+    """Ids that stay if all texts are compared."""
+    from tests.llm.test_graph import brute
+
+    parts = {d: t.lower().split() for d, t in rows}
+    sets = {d: {tuple(w[i : i + words]) for i in range(max(1, len(w) - words + 1))} for d, w in parts.items()}
+    alike = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b])]
+    group = brute(alike)
+    return {d for d in sets if group.get(d, d) == d}
+
+
+def boilerplate(groups, copies, seed=7):
+    """Texts ruled by one repeated passage, so that different ones have one fingerprint."""
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(3000)]
+    rows = []
+    for group in range(groups):
+        base = [rng.choice(words) for _ in range(150)]
+        for i in range(copies):
+            text = list(base)
+            text[rng.randrange(150)] = rng.choice(words)
+            rows.append((1000 * i + group, " ".join(["all rights reserved"] * 400 + text)))
+    return rows
+
+
+@pytest.mark.parametrize("crowd", [64, 5])
+def test_all_texts_of_a_fingerprint_are_compared(docs, monkeypatch, crowd):
+    monkeypatch.setattr(simhash, "CROWD_KEY", crowd)
+    monkeypatch.setattr(simhash, "CROWD_BLOCK", 4 if crowd == 5 else 128)
+    rows = boilerplate(6, 4)
+    assert len({plain_mark(t, 2) for _, t in rows}) < 6
+    kept = sorted(r.doc_id for r in simhash.drop_near_duplicates(docs(*rows)).collect())
+    assert kept == sorted(kept_by_brute_force(rows)) == list(range(6))
