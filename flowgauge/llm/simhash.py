@@ -205,7 +205,7 @@ def simhash_groups(
 #: Shingles of two words mark a text: their fingerprints move less with a changed word than longer ones do.
 MARK_WORDS, MARK_BITS = 2, 6
 #: Independent fingerprints of a text; a pair is a candidate if one of them is near.
-MARKS = 1
+MARKS = 6
 #: Texts under one key beyond which they are compared in blocks, and the texts of a block.
 CROWD_KEY, CROWD_BLOCK = 64, 128
 

@@ -165,3 +165,20 @@ def test_all_texts_of_a_fingerprint_are_compared(docs, monkeypatch, crowd):
     assert len({plain_mark(t, 2) for _, t in rows}) < 6
     kept = sorted(r.doc_id for r in simhash.drop_near_duplicates(docs(*rows)).collect())
     assert kept == sorted(kept_by_brute_force(rows)) == list(range(6))
+
+
+def test_several_fingerprints_find_edited_texts():
+    """Recall over pairs of different texts only, with a similarity of 0.8 to 0.9."""
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(3000)]
+    near = [0, 0]
+    for _ in range(200):
+        base = [rng.choice(words) for _ in range(300)]
+        text = list(base)
+        for at in rng.sample(range(300), 5):
+            text[at] = rng.choice(words)
+        a, b = (simhash.text_marks(" ".join(t).encode()) for t in (base, text))
+        apart = [((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(a, b)]
+        near[0] += apart[0] <= simhash.MARK_BITS
+        near[1] += min(apart) <= simhash.MARK_BITS
+    assert near[0] < 0.95 * 200 <= near[1]
