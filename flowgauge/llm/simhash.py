@@ -304,6 +304,11 @@ def _compare(tile: pa.Table, least: float) -> pa.Table:
         has[owner[part], place[part] - at] = 1
         shared += has @ has.T
     linked = shared >= least * (sizes[:, None] + sizes[None, :] - shared)
+    # The rule for pairs holds here too: one of the fingerprints is near.
+    marks, near = np.array(tile["marks"].to_pylist(), np.int64), np.zeros(linked.shape, bool)
+    for mark in marks.T:
+        near |= np.bitwise_count((mark[:, None] ^ mark[None, :]).view(np.uint64)) <= MARK_BITS
+    linked &= near
     root, open_ = np.arange(len(sets)), np.ones(len(sets), bool)
     for start in range(len(sets)):
         front = np.array([start])[open_[[start]]]

@@ -182,3 +182,33 @@ def test_several_fingerprints_find_edited_texts():
         near[0] += apart[0] <= simhash.MARK_BITS
         near[1] += min(apart) <= simhash.MARK_BITS
     assert near[0] < 0.95 * 200 <= near[1]
+
+
+def test_crowds_link_by_the_rule_of_pairs():
+    import numpy as np
+    import pyarrow as pa
+
+    def links(*marks):
+        one = np.arange(50, dtype="<u8").tobytes()
+        tile = pa.table({"no": list(range(len(marks))), "set": [one] * len(marks), "marks": pa.array(marks, pa.list_(pa.int64()))})
+        return simhash._compare(tile, 0.8).to_pylist()
+
+    assert links([0, 0], [-1, 127]) == []
+    assert links([0, 0], [-1, 63]) == [{"a": 0, "b": 1}]
+
+
+def test_what_counts_as_a_crowd_changes_nothing(docs, monkeypatch):
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(3000)]
+    base = [rng.choice(words) for _ in range(120)]
+    rows = []
+    for i in range(40):
+        text = list(base)
+        for at in rng.sample(range(120), rng.randrange(1, 7)):
+            text[at] = rng.choice(words)
+        rows.append((i, " ".join(text)))
+    df = docs(*rows)
+    kept = sorted(r.doc_id for r in simhash.drop_near_duplicates(df).collect())
+    monkeypatch.setattr(simhash, "CROWD_KEY", 5)
+    monkeypatch.setattr(simhash, "CROWD_BLOCK", 8)
+    assert sorted(r.doc_id for r in simhash.drop_near_duplicates(df).collect()) == kept
