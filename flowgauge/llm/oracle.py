@@ -130,9 +130,56 @@ SELECT p.page_id, host, path, rule, coalesce(o.verdict, l.verdict, 'allow') AS v
 FROM parts p LEFT JOIN own o USING (page_id) LEFT JOIN aliases l ON l.a = regexp_replace(p.url, '#.*$', '')
 """
 
+OP12 = r"""
+WITH docs AS (
+    SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || CAST(doc_id AS VARCHAR)) AS h,
+        regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units
+    FROM documents
+), drawn AS (
+    SELECT *, CAST(len(units) AS BIGINT) AS n, CAST('0x' || h[1:8] AS BIGINT) % (n + 1) AS one, CAST('0x' || h[9:16] AS BIGINT) % (n + 1) AS two,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+            OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 50 THEN 'plain'
+            WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+    FROM docs
+), parts AS (
+    SELECT *, array_to_string(units[1:least(one, two)], '') AS prefix,
+        array_to_string(units[least(one, two) + 1:greatest(one, two)], '') AS middle,
+        array_to_string(units[greatest(one, two) + 1:n], '') AS suffix
+    FROM drawn
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+    sha256(text) AS restored_sha256
+FROM parts
+"""
+
+OP13 = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), starts AS (
+    SELECT r, words, unnest(range(1, len(words) - 33)) AS s FROM docs
+), windows AS (
+    SELECT r, s, md5(array_to_string(words[s:s + 34], ' ')) AS mark FROM starts
+), gone AS (
+    SELECT DISTINCT r, s + unnest(range(0, 35)) AS place
+    FROM windows WHERE mark IN (SELECT mark FROM windows GROUP BY mark HAVING count(*) > 1)
+), words AS (
+    SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM docs
+), kept AS (
+    SELECT r, string_agg(word, ' ' ORDER BY place) AS text, count(*) AS n FROM words ANTI JOIN gone USING (r, place) GROUP BY r
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+    sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_source_mixing": OP1,
     "op4_warc_in_zip": OP4,
     "op6_line_dedup": OP6,
     "op10_url_filter": OP10,
+    "op12_fill_in_middle": OP12,
+    "op13_substring_dedup": OP13,
 }

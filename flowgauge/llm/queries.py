@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgauge.llm import bpe, forest, itq, language, line_dedup, mixing, simhash, toxicity, url_filter, warc_zip
+from flowgauge.llm import (
+    bpe,
+    forest,
+    infill,
+    itq,
+    language,
+    line_dedup,
+    mixing,
+    periodic,
+    simhash,
+    substrings,
+    toxicity,
+    url_filter,
+    warc_zip,
+)
 from flowgauge.llm.common import id_bucket
 
 
@@ -77,6 +91,46 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(_table(spark, sf_dir, "pages"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, one in ten of which is made periodic first."""
+    docs = periodic.with_planted_runs(_table(spark, sf_dir, "documents"))
+    found = periodic.periodic_runs(docs)
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.col2")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.col3")).alias("period"),
+        F.floor(1000 * F.col("best.length") / -F.col("best.col3")).alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut and rearranged for infilling, and put together again."""
+    found = infill.fill_in_middle(_table(spark, sf_dir, "documents"))
+    again = infill.restored(F.col("output"), F.col("form"))
+    return found.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(again, 256).alias("restored_sha256"),
+    )
+
+
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages of 35 words that come more than once."""
+    return substrings.without_repeats(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -90,5 +144,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_bpe,
         op9_forest_neighbours,
         op10_url_filter,
+        op11_periodic_runs,
+        op12_fill_in_middle,
+        op13_substring_dedup,
     )
 }
