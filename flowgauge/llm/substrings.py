@@ -15,8 +15,10 @@ meets anywhere in more rows than there are blocks, and no pairs are made.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +36,15 @@ MIN_WORDS = 35
 COVERS = {1: (0,), 3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 57: (0, 1, 3, 13, 32, 36, 43, 52)}
 #: Bytes of text in a block; a longer text is a block by itself.
 BLOCK_BYTES = 8 << 20
+#: Bytes of text that are hashed together.
+SLICE_BYTES = 1 << 18
 #: Bytes of text whose hashes one part of the hash space takes, which bounds the memory of a task.
 PART_BYTES = 16 << 20
 
+#: An odd number whose powers tell the places of a passage apart, and its inverse modulo 2**64.
+FACTOR = 0x9E3779B97F4A7C15
+INVERSE = pow(FACTOR, -1, 1 << 64)
+
 BLOCK = "id {}, sizes binary, texts binary, bytes long"
 PACK = "part int, block long, once binary, twice binary"
 FOUND = "block long, found binary"
@@ -49,7 +57,10 @@ def cover_for(words: int) -> tuple[int, tuple[int, ...]]:
 
 
 def _blocks(batches) -> Iterator[pa.RecordBatch]:
-    """Neighbouring rows as blocks: their ids, the sizes of their texts, all texts compressed."""
+    """Neighbouring rows as blocks: their ids, the sizes of their texts, all texts compressed.
+
+    From here on a text is its words with one space between them.
+    """
     ids, texts, size = [], [], 0
 
     def block():
@@ -60,7 +71,7 @@ def _blocks(batches) -> Iterator[pa.RecordBatch]:
             [
                 pa.ListArray.from_arrays(pa.array([0, len(listed)], pa.int32()), listed),
                 pa.array([sizes.tobytes()], pa.binary()),
-                pa.array([pa.Codec("zstd", compression_level=3).compress(joined, asbytes=True)], pa.binary()),
+                pa.array([pa.Codec("zstd", compression_level=1).compress(joined, asbytes=True)], pa.binary()),
                 pa.array([len(joined)], pa.int64()),
             ],
             ["id", "sizes", "texts", "bytes"],
@@ -69,7 +80,7 @@ def _blocks(batches) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         since = 0
         for i, value in enumerate(batch.column(1)):
-            text = value.as_py()
+            text = b" ".join(value.as_py().split())
             if texts and size + len(text) > BLOCK_BYTES:
                 ids.append(batch.column(0).slice(since, i - since))
                 yield block()
@@ -87,25 +98,43 @@ def _texts(sizes: bytes, packed: bytes, length: int) -> list[bytes]:
     return [joined[a:b] for a, b in zip([0, *ends], ends)]
 
 
-def _word_hashes(texts: list[list[bytes]]) -> np.ndarray:
-    """XXH64 of every word; distinct words are hashed once."""
-    import xxhash
+def _sizes(texts: list[bytes]) -> np.ndarray:
+    """Words of every text."""
+    return np.fromiter((t.count(b" ") + 1 if t else 0 for t in texts), np.int64, len(texts))
 
-    known: dict[bytes, int] = {}
-    codes = np.concatenate(
-        [np.fromiter((known.setdefault(w, len(known)) for w in words), np.int64, len(words)) for words in texts]
-        or [np.zeros(0, np.int64)]
-    )
-    hashes = np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in known), np.uint64, len(known))
-    return hashes[codes]
 
+@functools.lru_cache(maxsize=1)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse modulo 2**64."""
+    found = np.array([[FACTOR], [INVERSE]], np.uint64).repeat(n, axis=1)
+    found[:, 0] = 1
+    return tuple(np.multiply.accumulate(found, axis=1))
 
-def _passages(hashes: np.ndarray, starts: np.ndarray, words: int) -> np.ndarray:
-    """A hash of the ``words`` words from each start on: a sum with a fixed odd factor for each place, mixed."""
-    factors = np.random.default_rng(words).integers(0, 1 << 63, words, np.uint64) * np.uint64(2) + np.uint64(1)
-    total = np.zeros(len(starts), np.uint64)
-    for k in range(words):
-        total += hashes[starts + k] * factors[k]
+
+def _passages(texts: list[bytes], sizes: np.ndarray, starts: np.ndarray, words: int) -> np.ndarray:
+    """A hash of the ``words`` words from each start on, mixed; starts count the words of all texts, in order.
+
+    It is the sum of a fixed random number for each byte times a power for its place, modulo 2**64:
+    the difference of two running sums, times the inverse power that the start asks for.
+    Some texts at a time, for the sake of caches.
+    """
+    of_byte = np.random.default_rng(42).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
+    lengths, ends, out = np.fromiter(map(len, texts), np.int64, len(texts)), np.cumsum(sizes), []
+    group = (np.cumsum(lengths) - lengths) // SLICE_BYTES
+    cuts = np.append(np.flatnonzero(np.diff(group, prepend=-1)), len(texts)).tolist()
+    for a, b in zip(cuts, cuts[1:]):
+        before = int(ends[a] - sizes[a])
+        own = starts[np.searchsorted(starts, before) : np.searchsorted(starts, int(ends[b - 1]))] - before
+        if not len(own):
+            continue
+        joined = np.frombuffer(b" ".join(filter(None, texts[a:b])), np.uint8)
+        power, back = _powers(max(1 << (len(joined) - 1).bit_length(), 2 * SLICE_BYTES))
+        running = np.zeros(len(joined) + 1, np.uint64)
+        np.cumsum(of_byte[joined] * power[: len(joined)], out=running[1:])
+        spaces = np.flatnonzero(joined == 32)
+        first, last = np.append(0, spaces + 1)[own], np.append(spaces, len(joined))[own + (words - 1)]
+        out.append((running[last] - running[first]) * back[first])
+    total = np.concatenate(out or [np.zeros(0, np.uint64)])
     total ^= total >> np.uint64(32)
     total *= np.uint64(0xD6E8FEB86659FD93)
     return total ^ (total >> np.uint64(32))
@@ -118,16 +147,17 @@ def _starts(sizes: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
     return own + np.repeat(np.cumsum(sizes) - sizes, n), own
 
 
-def _anchors(texts: list[list[bytes]], words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash of every word, places of the anchors, their hashes)."""
+def _anchors(texts: list[bytes], sizes: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the anchors and their hashes."""
     period, cover = cover_for(words)
-    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    hashes, length = _word_hashes(texts), words - period + 1
+    length = words - period + 1
     starts, own = _starts(sizes, length)
+    at_cover = np.zeros(period, bool)
+    at_cover[list(cover)] = True
     # A text too short for a window has no window to repeat.
     whole = np.repeat(sizes >= words, np.maximum(sizes - length + 1, 0))
-    starts = starts[np.isin(own % period, cover) & whole]
-    return hashes, starts, _passages(hashes, starts, length)
+    starts = starts[at_cover[own % period] & whole]
+    return starts, _passages(texts, sizes, starts, length)
 
 
 def _packs(block: int, hashes: np.ndarray, parts: int, kind: str) -> pa.RecordBatch:
@@ -158,10 +188,10 @@ def _repeated(packs: DataFrame, kind: str) -> DataFrame:
         once = [np.frombuffer(x, kind) for x in table["once"].to_pylist()]
         twice = [np.frombuffer(x, kind) for x in table["twice"].to_pylist()]
         values, counts = np.unique(np.concatenate(once), return_counts=True)
-        again = np.union1d(values[counts > 1], np.concatenate(twice))
+        again = np.union1d(values[counts > 1], np.concatenate(twice)).astype("<u8")
         out = {"block": [], "found": []}
         for block, own in zip(table["block"].to_pylist(), once):
-            found = own[np.isin(own, again)] if len(again) else own[:0]
+            found = own[_among(own.astype("<u8"), again)]
             if len(found):
                 out["block"].append(block)
                 out["found"].append(_with_part(found, key[0].as_py(), kind).tobytes())
@@ -181,9 +211,17 @@ def _found(table: pa.Table) -> np.ndarray:
 
 
 def _among(hashes: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """Which hashes are among those found, which are in order."""
     if not len(found):
         return np.zeros(len(hashes), bool)
-    return found[np.minimum(np.searchsorted(found, hashes), len(found) - 1)] == hashes
+    # Most are not, and a table of their last bits tells so at once.
+    seen = np.zeros(1 << 22, bool)
+    seen[found & np.uint64(len(seen) - 1)] = True
+    maybe = np.flatnonzero(seen[hashes & np.uint64(len(seen) - 1)])
+    some = hashes[maybe]
+    out = np.zeros(len(hashes), bool)
+    out[maybe[found[np.minimum(np.searchsorted(found, some), len(found) - 1)] == some]] = True
+    return out
 
 
 def _covered(starts: np.ndarray, length: int, n: int) -> np.ndarray:
@@ -194,35 +232,33 @@ def _covered(starts: np.ndarray, length: int, n: int) -> np.ndarray:
     return np.cumsum(change)[:n] > 0
 
 
-def _candidates(texts: list[list[bytes]], found: np.ndarray, parts: int, words: int) -> np.ndarray:
+def _candidates(texts: list[bytes], found: np.ndarray, parts: int, words: int) -> np.ndarray:
     """Hashes of the windows of ``words`` words around shared anchors."""
-    hashes, anchors, marks = _anchors(texts, words)
+    sizes = _sizes(texts)
+    anchors, marks = _anchors(texts, sizes, words)
     part = ((marks >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
     shared = anchors[_among((part << np.uint64(32)) | (marks & np.uint64(0xFFFFFFFF)), found)]
-    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     starts, _ = _starts(sizes, words)
     # A window holds an anchor at the places from its own start on, to its last word less an anchor's.
     reach = cover_for(words)[0] - 1
     near = _covered(np.maximum(shared - reach, 0), reach + 1, int(sizes.sum()))
-    return _passages(hashes, starts[near[starts]], words)
+    return _passages(texts, sizes, starts[near[starts]], words)
 
 
-def _results(ids: pa.Array, texts: list[list[bytes]], found: np.ndarray, words: int, names: list[str]) -> pa.Table:
+def _results(ids: pa.Array, texts: list[bytes], found: np.ndarray, words: int, names: list[str]) -> pa.Table:
     """Per text its words, how many of them lie in repeats, and the others."""
-    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    kept = texts
+    sizes, kept = _sizes(texts), texts
     removed = np.zeros(len(texts), np.int64)
     if len(found):
-        hashes = _word_hashes(texts)
         starts, _ = _starts(sizes, words)
-        gone = _covered(starts[_among(_passages(hashes, starts, words), found)], words, int(sizes.sum()))
+        gone = _covered(starts[_among(_passages(texts, sizes, starts, words), found)], words, int(sizes.sum()))
         ends = np.cumsum(sizes)
         removed = np.add.reduceat(np.append(gone, False), ends - sizes, dtype=np.int64) * (sizes > 0)
         kept = [
-            [text[i] for i in np.flatnonzero(~gone[end - len(text) : end]).tolist()] if n else text
-            for text, end, n in zip(texts, ends.tolist(), removed.tolist())
+            b" ".join(compress(text.split(b" "), (~gone[end - size : end]).tolist())) if n else text
+            for text, size, end, n in zip(texts, sizes.tolist(), ends.tolist(), removed.tolist())
         ]
-    left = pa.array([b" ".join(t) for t in kept], pa.binary()).cast(pa.string())
+    left = pa.array(kept, pa.binary()).cast(pa.string())
     return pa.table([ids, pa.array(sizes), pa.array(removed), left], names)
 
 
@@ -247,16 +283,16 @@ def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
     size = blocks.agg(F.sum("bytes")).first()[0] or 0
     parts = max(1, math.ceil(size / PART_BYTES))
 
-    def rows(table) -> Iterator[tuple[int, list[list[bytes]], pa.Array]]:
+    def rows(table) -> Iterator[tuple[int, list[bytes], pa.Array]]:
         columns = (table[c].to_pylist() for c in ("block", "sizes", "texts", "bytes"))
         for number, sizes, texts, length, ids in zip(*columns, (x.values for x in table["id"])):
-            yield number, [t.split() for t in _texts(sizes, texts, length)], ids
+            yield number, _texts(sizes, texts, length), ids
 
     def anchors(batches):
         for batch in batches:
             for i in range(batch.num_rows):
                 for number, texts, _ in rows(batch.slice(i, 1)):
-                    yield _packs(number, _anchors(texts, words)[2], parts, "<u4")
+                    yield _packs(number, _anchors(texts, _sizes(texts), words)[1], parts, "<u4")
 
     def windows(left, right):
         found = _found(right)
