@@ -198,6 +198,74 @@ def _sql(body: str) -> str:
     return f"WITH {_BASE.strip()}\n{body.strip()}"
 
 
+#: The last moment of a number of daily loads from 2024-01-10 02:00 on, each of the day before it.
+def _last_load(loads: int) -> str:
+    return f"(TIMESTAMP '2024-01-10 02:00:00' + to_days({loads - 1}))"
+
+
+def _late(relation: str, loads: int) -> str:
+    """What is known of a relation after the loads: a run's end shows a day after it was scheduled."""
+    ended = f"execution_date + to_days(1) <= {_last_load(loads)}"
+    return f"""late_{relation} AS (
+  SELECT * REPLACE (
+    CASE WHEN {ended} OR state IN ('running', 'queued') THEN state ELSE 'running' END AS state,
+    CASE WHEN {ended} THEN end_date END AS end_date,
+    CASE WHEN {ended} THEN duration END AS duration)
+  FROM {relation}
+  WHERE execution_date BETWEEN TIMESTAMP '2024-01-09 02:00:00' AND {_last_load(loads)})"""
+
+
+def _late_sql(body: str, loads: int) -> str:
+    """A query over the same models, built on the history that is known after the loads."""
+    base = _BASE.replace("FROM dag_runs),", "FROM late_dag_runs),").replace("FROM task_instances),", "FROM late_task_instances),")
+    late = ",\n".join(_late(name, loads) for name in ("dag_runs", "task_instances"))
+    return f"WITH {base.replace('stg_dag_runs AS (', late + ',\n' + 'stg_dag_runs AS (', 1).strip()}\n{body.strip()}"
+
+
+_LOAD_MERGE = f"""
+, placed AS (
+  SELECT *, greatest(TIMESTAMP '2024-01-10 02:00:00',
+                     CAST(ceil(date_diff('microsecond', TIMESTAMP '2024-01-10 02:00:00', execution_date) / 86400e6) AS INTEGER)
+                     * INTERVAL 1 DAY + TIMESTAMP '2024-01-10 02:00:00') AS first_load,
+         greatest(TIMESTAMP '2024-01-10 02:00:00',
+                  CAST(ceil(date_diff('microsecond', TIMESTAMP '2024-01-09 02:00:00', execution_date) / 86400e6) AS INTEGER)
+                  * INTERVAL 1 DAY + TIMESTAMP '2024-01-10 02:00:00') AS end_known
+  FROM late_dag_runs)
+SELECT dag_id, execution_date, state, start_date, end_date,
+       CASE WHEN end_date IS NOT NULL THEN date_diff('microsecond', start_date, end_date) / 1e6 END AS duration,
+       CASE WHEN end_date IS NOT NULL THEN end_known ELSE first_load END AS extracted_at,
+       strftime(first_load, '%Y-%m-%d') AS load_date,
+       strftime(first_load - to_days(1), '%Y%m%dT%H%M%S.000000_') || strftime(first_load, '%Y%m%dT%H%M%S.000000') AS load_id
+FROM placed"""
+
+
+def _tall(mart: str, entity: str, identifier: str, measures: tuple[str, ...]) -> str:
+    """A mart with one row per measure."""
+    return "\nUNION ALL ".join(
+        f"SELECT '{mart}' AS mart, {entity} AS entity_type, dag_id, {identifier} AS identifier, execution_day, "
+        f"'{m}' AS measure, CAST({m} AS DOUBLE) AS value FROM {mart}"
+        for m in measures
+    )
+
+
+_MART_INCREMENTAL = "\nUNION ALL ".join(
+    (
+        _tall("dag_runtime_metrics", "CAST(NULL AS VARCHAR)", "CAST(NULL AS VARCHAR)", (
+            "total_runs", "successful_runs", "failed_runs", "avg_duration_seconds", "min_duration_seconds",
+            "max_duration_seconds", "median_duration_seconds", "p95_duration_seconds", "total_duration_seconds",
+        )),
+        _tall("dag_failure_rates", "CAST(NULL AS VARCHAR)", "CAST(NULL AS VARCHAR)", (
+            "total_runs", "failed_runs", "successful_runs", "failure_rate_percent", "success_rate_percent",
+            "rolling_7d_failure_rate", "rolling_30d_failure_rate",
+        )),
+        _tall("sla_misses", "entity_type", "identifier", (
+            "total_count", "sla_misses", "sla_meets", "sla_miss_rate_percent", "avg_duration_seconds",
+            "max_duration_seconds", "sla_threshold_seconds",
+        )),
+    )
+)
+
+
 # --- result rows of checks ---------------------------------------------------
 
 def _row(source: str, suite: str, name: str, kind: str, table: str, column: str | None, **fields: str) -> str:
@@ -673,3 +741,5 @@ FROM ({_RUN_SUITE} UNION ALL {_TASK_SUITE}) GROUP BY suite""",
 }
 
 ORACLE_SQL: dict[str, str] = {name: _sql(body) for name, body in _BODIES.items()}
+ORACLE_SQL["load_merge"] = _late_sql(_LOAD_MERGE, 3)
+ORACLE_SQL["mart_incremental"] = _late_sql(_MART_INCREMENTAL, 5)

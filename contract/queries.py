@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from datetime import datetime
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 from contract import fixtures
 from flowgauge import functions as fx
 from flowgauge import operators as ops
-from flowgauge.plans import marts, staging
+from flowgauge.plans import incremental, marts, staging
 from flowgauge.plans.models import model_frames
 from flowgauge.plans.staging import timed
 from flowgauge.quality import (
@@ -38,7 +40,8 @@ from flowgauge.quality import (
 from flowgauge.quality.model_tests import accepted_range, accepted_values, not_null
 from flowgauge.quality.rules import settled
 from flowgauge.quality.suites import RULES_TABLE
-from flowgauge.sources import extract_dag_runs, extract_task_instances
+from flowgauge.session import ensure_checkpoint_dir
+from flowgauge.sources import extract_and_merge, extract_dag_runs, extract_task_instances, load_window
 
 #: The moment the checks look from, and the load window of the incremental query.
 AS_OF = datetime(2024, 2, 1)
@@ -96,6 +99,82 @@ def derive_duration(spark, sf_dir):
     )
 
 
+@contextmanager
+def _database(spark: SparkSession) -> Iterator[str]:
+    """A database of its own, for queries that load tables; it goes when they are done."""
+    name = f"loads_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name}")
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def _as_known(history: DataFrame, moment: datetime) -> DataFrame:
+    """History as the source shows it at a moment: a run's end is known a day after it was scheduled."""
+    ended = F.col("execution_date") + F.expr("INTERVAL '1' DAY") <= F.lit(moment).cast("timestamp_ntz")
+    still = F.when(F.col("state").isin("running", "queued"), F.col("state")).otherwise("running")
+    return history.withColumns(
+        {
+            "state": F.when(ended, F.col("state")).otherwise(still),
+            **{c: F.when(ended, F.col(c)) for c in ("end_date", "duration")},
+        }
+    )
+
+
+def _daily_loads(spark: SparkSession, sf_dir: str, days: int, database: str):
+    """Merge one day after the other, each as the source shows it then; yields what each merge did."""
+    runs, tasks = fixtures.dag_runs(spark, sf_dir), fixtures.task_instances(spark, sf_dir)
+    for k in range(days):
+        end = WINDOW_START + timedelta(days=k)
+        yield extract_and_merge(
+            spark, _as_known(runs, end), _as_known(tasks, end), *load_window(end), as_of=end, database=database
+        )
+
+
+@query
+def load_merge(spark, sf_dir):
+    """The raw table of runs after three daily loads, in which runs end after their window was loaded."""
+    ensure_checkpoint_dir(spark)
+    with _database(spark) as database:
+        for _ in _daily_loads(spark, sf_dir, 3, database):
+            pass
+        loaded = spark.table(f"{database}.dag_runs")
+        return loaded.withColumn("load_date", F.col("load_date").cast("string")).checkpoint()
+
+
+@query
+def mart_incremental(spark, sf_dir):
+    """Three marts kept up to date over five daily loads, one row per measure."""
+    ensure_checkpoint_dir(spark)
+    names = {
+        name: [c for c, kind in marts_frame.dtypes if kind in ("bigint", "double", "int")]
+        for name, marts_frame in _empty_marts(spark, sf_dir).items()
+    }
+    with _database(spark) as database:
+        for merged in _daily_loads(spark, sf_dir, 5, database):
+            incremental.apply_merges(spark, database, merged)
+        parts = [_tall(spark.table(f"{database}.{name}"), name, measures) for name, measures in names.items()]
+        return reduce(DataFrame.unionByName, parts).checkpoint()
+
+
+def _empty_marts(spark, sf_dir) -> dict[str, DataFrame]:
+    frame = model_frames({"dag_runs": fixtures.dag_runs(spark, sf_dir), "task_instances": fixtures.task_instances(spark, sf_dir)})
+    return {name: frame(name) for name in incremental.MARTS}
+
+
+def _tall(mart: DataFrame, name: str, measures: list[str]) -> DataFrame:
+    each = F.explode(
+        F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value")) for m in measures])
+    ).alias("each")
+
+    def own(column: str):
+        return (F.col(column) if column in mart.columns else F.lit(None).cast("string")).alias(column)
+
+    keys = (F.lit(name).alias("mart"), own("entity_type"), "dag_id", own("identifier"), "execution_day")
+    return mart.select(*keys, each).select("*", "each.*").drop("each")
+
+
 # --- expressions and filters -------------------------------------------------
 
 

@@ -1,6 +1,11 @@
 """Reusable DataFrame operators: percentiles, ranks, rolling means, joins, loads of one row per key."""
 
-from flowgauge.operators.percentile import grouped_percentiles, value_counts
+from flowgauge.operators.percentile import (
+    counts_by_group,
+    grouped_percentiles,
+    percentiles_of_counts,
+    value_counts,
+)
 from flowgauge.operators.ranking import global_row_number, top_k
 from flowgauge.operators.relational import (
     distinct_tasks,
@@ -11,11 +16,13 @@ from flowgauge.operators.relational import (
 from flowgauge.operators.rolling import rolling_mean
 
 __all__ = [
+    "counts_by_group",
     "distinct_tasks",
     "global_row_number",
     "grouped_percentiles",
     "join_thresholds",
     "latest_per_key",
+    "percentiles_of_counts",
     "rolling_mean",
     "sla_thresholds",
     "top_k",

@@ -89,11 +89,28 @@ def grouped_percentiles(
     shuffle serve everything.  NULL values take no part in the percentiles; a
     group of NULLs only gets NULL.
     """
+    return percentiles_of_counts(value_counts(df, keys, value, facets), keys, quantiles, totals)
+
+
+def counts_by_group(
+    df: DataFrame, keys: Sequence[str], value: str, weight: str, facets: Sequence[str] = ()
+) -> DataFrame:
+    """Stored counts (keys, value, facets, weight) in the form that ``value_counts`` has."""
+    rows = df.select(F.struct(*keys).alias(GROUP), F.col(value).alias(VALUE), *facets, F.col(weight).alias(WEIGHT))
+    return rows.withColumn(BUCKET, magnitude_bucket(VALUE))
+
+
+def percentiles_of_counts(
+    counts: DataFrame,
+    keys: Sequence[str],
+    quantiles: Mapping[str, float],
+    totals: Mapping[str, tuple[str, str]] | None = None,
+) -> DataFrame:
+    """``grouped_percentiles`` of rows that are counted already."""
     totals = dict(totals or {})
     if any(kind not in _AGGREGATES for kind, _ in totals.values()):
         raise ValueError(f"totals must be one of {', '.join(_AGGREGATES)}")
     facts = ["_total", *totals]  # the same in every row of a group
-    counts = value_counts(df, keys, value, facets)
     counted = "if(value IS NULL, 0, weight)"
     position = {name: f"({float(q)!r}D * (_total - 1))" for name, q in quantiles.items()}
 

@@ -12,8 +12,10 @@ from flowgauge.functions import day_of, rate_percent, sla_threshold
 from flowgauge.operators import (
     grouped_percentiles,
     join_thresholds,
+    percentiles_of_counts,
     rolling_mean,
     top_k,
+    value_counts,
 )
 from flowgauge.plans.staging import timed
 from flowgauge.schemas import TOP_SLOWEST, SlaThresholds
@@ -29,11 +31,17 @@ def _outcomes(state: str) -> Column:
 def dag_runtime_metrics(runs: DataFrame) -> DataFrame:
     """Runtime statistics per workflow and day, over runs with a known duration."""
     daily = timed(runs).withColumn("execution_day", day_of(F.col("execution_date")))
-    return grouped_percentiles(
-        daily,
-        keys=["dag_id", "execution_day"],
-        value=DURATION,
-        facets=["state"],
+    return runtime_metrics_of_counts(value_counts(daily, RUNTIME_KEYS, DURATION, ["state"]))
+
+
+RUNTIME_KEYS = ["dag_id", "execution_day"]
+
+
+def runtime_metrics_of_counts(counts: DataFrame) -> DataFrame:
+    """Runtime statistics from the runs of each duration and state, counted."""
+    return percentiles_of_counts(
+        counts,
+        keys=RUNTIME_KEYS,
         totals={
             "total_runs": ("sum", "weight"),
             "successful_runs": ("sum", "if(state = 'success', weight, 0)"),
@@ -65,6 +73,11 @@ def daily_outcomes(runs: DataFrame) -> DataFrame:
         _outcomes("failed").alias("failed_runs"),
         _outcomes("success").alias("successful_runs"),
     )
+    return with_rates(daily)
+
+
+def with_rates(daily: DataFrame) -> DataFrame:
+    """Counts of runs by outcome with their rates."""
     return daily.withColumns(
         {
             "failure_rate_percent": rate_percent(F.col("failed_runs"), F.col("total_runs")),
@@ -78,7 +91,12 @@ def dag_failure_rates(runs: DataFrame) -> DataFrame:
 
     Unlike the runtime metrics this counts every run, timed or not.
     """
-    return daily_outcomes(runs).select(
+    return failure_rates_of(daily_outcomes(runs))
+
+
+def failure_rates_of(outcomes: DataFrame) -> DataFrame:
+    """Rates and their rolling means from one row per workflow and day."""
+    return outcomes.select(
         "dag_id",
         "execution_day",
         "total_runs",

@@ -134,7 +134,16 @@ def extract_and_load(
     its first try wrote, even if that broke off between the two tables, and any
     number of windows may end on one day.  Windows that overlap repeat the rows
     they share (as do plain appends); ``operators.latest_per_key`` drops such copies.
+
+    ``if_exists="merge"`` keeps one row per run instead (see ``sources.merge``): the window is read from
+    the oldest run on that is still open in the table, so that runs which end after their
+    window was loaded get their end, and the counts are of rows added or replaced.
     """
+    if if_exists == "merge":
+        from flowgauge.sources.merge import extract_and_merge
+
+        merged = extract_and_merge(spark, runs_source, tasks_source, start, end, as_of, database)
+        return {f"{name}_count": found.inserted + found.updated for name, found in merged.items()}
     windowed = start is not None or end is not None
     stamp = end or as_of
     load_date = stamp.date() if stamp else None
