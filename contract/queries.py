@@ -255,6 +255,23 @@ def join_thresholds(spark, sf_dir):
     )
 
 
+@query
+def join_thresholds_asof(spark, sf_dir):
+    """A retry sets a level for its task from then on, a failure one for six hours."""
+    tasks = _tasks(spark, sf_dir)
+    until = F.when(F.col("state") == "failed", F.col("execution_date") + F.expr("INTERVAL '6' HOUR"))
+    levels = tasks.where("state in ('failed', 'up_for_retry')").select(
+        "dag_id",
+        "task_id",
+        F.col("execution_date").alias("valid_from"),
+        until.alias("valid_to"),
+        (1800 + 600 * F.col("try_number")).alias("sla_threshold_seconds"),
+    )
+    return ops.join_thresholds_asof(tasks, levels).select(
+        "dag_id", "task_id", "execution_date", "calculated_duration", "sla_threshold_seconds"
+    )
+
+
 @query
 def agg_count(spark, sf_dir):
     return _daily(_runs(spark, sf_dir)).groupBy("dag_id", "execution_day").agg(
@@ -304,6 +321,30 @@ def agg_percentile_cont(spark, sf_dir):
     )
 
 
+@query
+def agg_percentile_sketch(spark, sf_dir):
+    """Median and 95th percentile of 30 days from daily sketches, each held against the exact ranks.
+
+    What a sketch answers may differ from run to run, so what is returned is whether its rank
+    lies within the error that is stated for it (three times the one of 99 in 100 answers).
+    """
+    tasks, keys = _daily(_tasks(spark, sf_dir)), ["dag_id", "task_id"]
+    stored = ops.sketches(tasks, [*keys, "execution_day"], "calculated_duration")
+    quantiles = {"median": 0.5, "p95": 0.95}
+    found = ops.quantiles_of(ops.merge_sketches(stored, keys), quantiles)
+    value, n, off = F.col("calculated_duration"), F.col("sketched_rows"), 3 * ops.rank_error()
+    ranks = tasks.join(found, keys).groupBy(*keys, "sketched_rows")
+    below = [F.count_if(value < F.col(name)).alias(f"{name}_below") for name in quantiles]
+    up_to = [F.count_if(value <= F.col(name)).alias(f"{name}_up_to") for name in quantiles]
+
+    def near(name: str, q: float):
+        return (F.col(f"{name}_below") / n - off <= q) & (F.col(f"{name}_up_to") / n + off >= q)
+
+    return ranks.agg(*below, *up_to).select(
+        *keys, n.alias("total_executions"), *[near(name, q).alias(f"{name}_near") for name, q in quantiles.items()]
+    )
+
+
 @query
 def agg_max_timestamp(spark, sf_dir):
     return _tasks(spark, sf_dir).groupBy("dag_id", "task_id").agg(

@@ -28,6 +28,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowgauge.operators.sketch import ROWS, quantiles_of, sketches
+
 BUCKETS_PER_DOUBLING = 8192
 _LARGEST_EXPONENT = 1100  # beyond the exponent of any double, on either side of 1
 
@@ -80,6 +82,7 @@ def grouped_percentiles(
     quantiles: Mapping[str, float],
     totals: Mapping[str, tuple[str, str]] | None = None,
     facets: Sequence[str] = (),
+    exact: bool = True,
 ) -> DataFrame:
     """One row per group: the keys, ``totals`` and the exact ``quantiles`` as doubles.
 
@@ -88,7 +91,15 @@ def grouped_percentiles(
     come from the bucket sums that are needed anyway, so one scan and one large
     shuffle serve everything.  NULL values take no part in the percentiles; a
     group of NULLs only gets NULL.
+
+    ``exact=False`` answers from one quantile sketch per group instead, with values that occur and whose
+    ranks may be off by ``sketch.rank_error``; rows are not shuffled then.  Totals stay exact.
     """
+    if not exact:
+        measured = F.col(value) if isinstance(value, str) else value
+        rows = df.select(*keys, measured.alias(VALUE), *facets, F.lit(1).alias(WEIGHT))
+        wanted = {name: F.expr(f"{kind}({part})") for name, (kind, part) in dict(totals or {}).items()}
+        return quantiles_of(sketches(rows, keys, VALUE, totals=wanted), quantiles).drop(ROWS)
     return percentiles_of_counts(value_counts(df, keys, value, facets), keys, quantiles, totals)
 
 

@@ -12,6 +12,8 @@ from flowgauge.schemas import SlaThresholds
 from flowgauge.session import ensure_checkpoint_dir
 
 BROADCAST_ROWS = 50_000
+#: Runs of one task that one task of a join takes; and the most tasks that may count as hot.
+HOT_ROWS, MOST_HOT = 4_000_000, 1000
 
 
 def distinct_tasks(tasks: DataFrame) -> DataFrame:
@@ -26,12 +28,26 @@ def sla_thresholds(tasks: DataFrame, thresholds: SlaThresholds = SlaThresholds()
     )
 
 
+def hot_tasks(tasks: DataFrame, above: int = HOT_ROWS) -> DataFrame:
+    """(dag_id, task_id, _salts): tasks with so many runs that these are spread, and over how many parts.
+
+    A task is hot above ``above`` runs, and above a thousandth of all runs: so there are
+    fewer than a thousand of them in a table of any size.
+    """
+    ensure_checkpoint_dir(tasks.sparkSession)
+    named = tasks.where(F.col("dag_id").isNotNull() & F.col("task_id").isNotNull())
+    counts = named.groupBy("dag_id", "task_id").agg(F.count(F.lit(1)).alias("n")).checkpoint()
+    bound = max(above, (counts.agg(F.sum("n")).first()[0] or 0) // MOST_HOT)
+    return counts.where(F.col("n") > bound).select("dag_id", "task_id", F.ceil(F.col("n") / bound).cast("int").alias("_salts"))
+
+
 def join_thresholds(
     tasks: DataFrame,
     thresholds: DataFrame,
     broadcast_rows: int = BROADCAST_ROWS,
     salts: int | None = None,
     how: str = "inner",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Task runs with the threshold of their task; without one they drop out, or get NULL with ``how='left'``.
 
@@ -40,9 +56,10 @@ def join_thresholds(
     table, one row per task, is computed once and kept; it is counted, and up to
     ``broadcast_rows`` it is broadcast and the task runs stay where they are.
 
-    Beyond it the join shuffles.  One task may own a third of all runs, so runs
-    are spread over ``salts`` partitions (as many as a shuffle has, if not given) by
-    a hash of their times, and each threshold is repeated once per salt.  The hash
+    Beyond it the join shuffles.  One task may own a third of all runs, so the runs per task are
+    counted first.  Those of a hot task (see ``hot_tasks``) are spread by a hash of their
+    times over as many parts as hold ``hot_rows`` each, or ``salts`` if given, and the
+    thresholds of hot tasks, and no others, are repeated once per part.  The hash
     depends on the row alone, so a task that is run again reproduces it; and because
     the salt is part of the join key, adaptive execution may split a partition that
     is still too large.
@@ -56,11 +73,15 @@ def join_thresholds(
     )
     if limits.count() <= broadcast_rows:
         return tasks.join(F.broadcast(limits), keys, how)
-    salts = salts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hot = hot_tasks(tasks, hot_rows).checkpoint()
+    parts = F.lit(1)
+    if not hot.isEmpty():
+        marked = F.broadcast(hot)  # fewer than MOST_HOT rows
+        tasks, limits = tasks.join(marked, keys, "left"), limits.join(marked, keys, "left")
+        parts = F.when(F.col("_salts").isNull(), 1).otherwise(F.lit(salts) if salts else F.col("_salts"))
     run_hash = F.xxhash64("execution_date", "start_date", "end_date")
-    salted = tasks.withColumn("_salt", F.pmod(run_hash, F.lit(salts)).cast("int"))
-    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")
-    repeated = limits.select("*", every_salt)
+    salted = tasks.withColumn("_salt", F.pmod(run_hash, parts).cast("int")).drop("_salts")
+    repeated = limits.select(*keys, "sla_threshold_seconds", F.explode(F.sequence(F.lit(0), parts - 1)).alias("_salt"))
     return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
 
 

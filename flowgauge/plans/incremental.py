@@ -88,7 +88,7 @@ def merge_partials(spark: SparkSession, table: str, names: Sequence[str], change
         keys = [c for c in delta.columns if c != _WEIGHT]
         stored = _of_days(spark.table(table), touched).select(*delta.columns)
         summed = stored.unionByName(delta).groupBy(*keys).agg(F.sum(_WEIGHT).alias(_WEIGHT))
-        replace_partitions(summed.where(f"{_WEIGHT} <> 0"), table, _days(touched))
+        replace_partitions(summed.where(f"{_WEIGHT} <> 0"), table, _days(touched), [DAY])
     return touched
 
 
@@ -103,10 +103,10 @@ def rebuild_partials(spark: SparkSession, database: str, days: Iterable[str] | N
         _ensure(counted, f"{database}.{table}")
         if days is None:
             wanted = {row[0] for row in counted.select(DAY).distinct().collect()}
-            wanted |= {p[0] for p in stored_partitions(spark, f"{database}.{table}")}
+            wanted |= {p[0] for p in stored_partitions(spark, f"{database}.{table}", [DAY])}
         else:
             wanted = set(days)
-        replace_partitions(_of_days(counted, wanted), f"{database}.{table}", _days(wanted))
+        replace_partitions(_of_days(counted, wanted), f"{database}.{table}", _days(wanted), [DAY])
         found[table] = wanted
     return found
 
@@ -180,14 +180,14 @@ def refresh_marts(
     def replace(name: str, df: DataFrame, days: Iterable[str]) -> None:
         with_day = df if DAY in df.columns else df.withColumn(DAY, _day_name())
         _ensure(with_day, f"{database}.{name}")
-        replace_partitions(with_day, f"{database}.{name}", _days(days))
+        replace_partitions(with_day, f"{database}.{name}", _days(days), [DAY])
 
     if run_days:
         replace("dag_runtime_metrics", runtime_metrics(_of_days(runs, run_days)), run_days)
         rates = f"{database}.dag_failure_rates"
         if not spark.catalog.tableExists(rates):
             _ensure(marts.failure_rates_of(marts.with_rates(_outcomes(runs))).withColumn(DAY, _day_name()), rates)
-        later = {d for d, in stored_partitions(spark, rates) if NO_DAY in run_days or d != NO_DAY and d >= min(run_days)}
+        later = {d for d, in stored_partitions(spark, rates, [DAY]) if NO_DAY in run_days or d != NO_DAY and d >= min(run_days)}
         replace("dag_failure_rates", failure_rates(spark.table(rates), _of_days(runs, run_days), run_days), run_days | later)
     if either := run_days | task_days:
         replace("sla_misses", sla_misses(_of_days(runs, either), _of_days(tasks, either), thresholds), either)

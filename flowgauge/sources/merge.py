@@ -119,7 +119,7 @@ def merge_load(
     taken_out = changed.select(F.explode("copies").alias("old")).select("old.*", F.lit(-1).alias("sign"))
     changes = taken_out.unionByName(changed.select("new.*", F.lit(1).alias("sign")))
     if touched:
-        there = touched & stored_partitions(spark, table)
+        there = touched & stored_partitions(spark, table, _PLACE)
         kept = (
             stored.where(is_one_of(_PLACE, there))
             .withColumn("key", F.struct(*keys))
@@ -128,7 +128,7 @@ def merge_load(
         )
         home = F.col("places")[0]
         added = changed.select("new.*", home[_PLACE[0]].cast("date").alias(_PLACE[0]), home[_PLACE[1]].alias(_PLACE[1]))
-        replace_partitions(kept.unionByName(added), table, touched)
+        replace_partitions(kept.unionByName(added), table, touched, _PLACE)
     return MergeResult(counts["inserted"], counts["updated"], counts["unchanged"], tuple(sorted(touched)), changes)
 
 

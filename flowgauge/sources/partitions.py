@@ -35,12 +35,13 @@ def is_one_of(columns: Sequence[str], partitions: Iterable[Partition]) -> Column
     return key.isin(["\x1f".join(p) for p in found])
 
 
-def stored_partitions(spark: SparkSession, table: str) -> set[Partition]:
-    """The partitions that a table has, from the catalog."""
-    columns, found = partition_columns(spark, table), set()
+def stored_partitions(spark: SparkSession, table: str, columns: Sequence[str] | None = None) -> set[Partition]:
+    """The partitions that a table has, from the catalog; ``columns``, where known, save a look at the table."""
+    columns, found = columns or partition_columns(spark, table), set()
+    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
     for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
         values = dict(part.split("=", 1) for part in row[0].split("/"))
-        found.add(tuple(spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(values[c]) for c in columns))
+        found.add(tuple(unescape(values[c]) for c in columns))
     return found
 
 
@@ -59,7 +60,9 @@ def _partition_location(spark: SparkSession, table: str, spec: str) -> str | Non
     return rows[0]["data_type"] if rows else None
 
 
-def replace_partitions(df: DataFrame, table: str, partitions: Iterable[Partition]) -> None:
+def replace_partitions(
+    df: DataFrame, table: str, partitions: Iterable[Partition], columns: Sequence[str] | None = None
+) -> None:
     """Put the rows of ``df`` in the place of ``partitions`` of ``table``, and touch no other one.
 
     ``df`` has the table's columns; its rows lie in ``partitions``.  All rows are written to a
@@ -67,19 +70,19 @@ def replace_partitions(df: DataFrame, table: str, partitions: Iterable[Partition
     the old folder to the new one, and a partition without rows is dropped.  So a reader
     sees a partition as it was or as it is, never in part; a job that breaks off leaves each
     partition whole, and may be run again.  ``df`` may read the table itself: the old files
-    go last.
+    go last.  ``columns`` are the partition columns, where known.
     """
     spark, found = df.sparkSession, sorted(set(partitions))
     if not found:
         return
-    columns = partition_columns(spark, table)
+    columns = columns or partition_columns(spark, table)
     folder = f"{_location(spark, table)}/_replaced-{uuid.uuid4().hex}"
-    order = [c.name for c in spark.catalog.listColumns(table)]
+    order = spark.table(table).columns
     # Files of a fitting size, one task for each unless a partition is large.
     sized = df.select(*[F.col(f"`{c}`") for c in order]).hint("rebalance", *[F.col(f"`{c}`") for c in columns])
     sized.write.partitionBy(*columns).parquet(folder)
     escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    present, old = stored_partitions(spark, table), []
+    present, old = stored_partitions(spark, table, columns), []
     for partition in found:
         spec = _spec(columns, partition)
         new = f"{folder}/" + "/".join(f"{c}={escape(v)}" for c, v in zip(columns, partition))

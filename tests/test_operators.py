@@ -190,3 +190,17 @@ def test_latest_per_key(make_runs):
         ("b", "success"),
         (None, "success"),
     }
+
+
+def test_approximate_percentiles_keep_exact_totals(spark):
+    from flowgauge.operators import grouped_percentiles
+
+    df = spark.range(500).selectExpr("id % 2 as k", "double(id) as v", "if(id % 3 = 0, 's', 'f') as state")
+    wanted = {
+        "totals": {"n": ("sum", "weight"), "s": ("sum", "if(state = 's', weight, 0)"), "top": ("max", "value")},
+        "facets": ["state"],
+    }
+    exact = grouped_percentiles(df, ["k"], "v", {"m": 0.5}, **wanted).orderBy("k").collect()
+    rough = grouped_percentiles(df, ["k"], "v", {"m": 0.5}, **wanted, exact=False).orderBy("k").collect()
+    assert [(r.k, r.n, r.s, r.top) for r in exact] == [(r.k, r.n, r.s, r.top) for r in rough]
+    assert all(abs(a.m - b.m) <= 2 for a, b in zip(exact, rough))

@@ -153,3 +153,27 @@ def test_no_query_multiplies_rows_or_leaves_the_jvm(spark, sf_dir, name):
     plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "Python" not in plan
+
+
+def test_only_thresholds_of_hot_tasks_are_repeated(spark, make_tasks, no_broadcast):
+    """300 tasks, one of which has most runs: its threshold is repeated, the others are not."""
+    tasks = make_tasks(
+        *[{"dag_id": f"d{i}", "execution_date": datetime(2024, 1, 1)} for i in range(300)],
+        *[{"dag_id": "hot", "execution_date": datetime(2024, 1, 1, i % 24, i % 60, i // 60)} for i in range(1000)],
+        {"dag_id": None},
+    )
+    limits = sla_thresholds(tasks).where("dag_id is not null")
+    for how, rows in (("inner", 1300), ("left", 1301)):
+        joined = join_thresholds(tasks, limits, broadcast_rows=0, how=how, hot_rows=100)
+        plan = final_plan(joined)
+        assert joined.count() == rows and "SortMergeJoin" in plan
+        assert sorted(map(repr, joined.collect())) == sorted(map(repr, join_thresholds(tasks, limits, how=how).collect()))
+    from flowgauge.operators import hot_tasks
+
+    (hot,) = hot_tasks(tasks, 100).collect()
+    assert (hot.dag_id, hot._salts) == ("hot", 10)
+    spark.conf.set("spark.sql.shuffle.partitions", "64")  # copies do not grow with it
+    repeated = join_thresholds(tasks, limits, broadcast_rows=0, hot_rows=100)
+    metrics = repeated._jdf.queryExecution().optimizedPlan().toString()
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert "64" not in re.findall(r"sequence\([^)]*\)", metrics)

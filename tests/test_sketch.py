@@ -1,0 +1,48 @@
+"""Stored quantile sketches: merged over days, their rank error against exact ranks."""
+
+import bisect
+
+import pytest
+from pyspark.sql import functions as F
+
+from flowgauge.operators.sketch import SIZE, merge_sketches, quantiles_of, rank_error, sketched_percentiles, sketches
+
+
+@pytest.mark.parametrize("rows", [2_000, 40_000, 800_000])
+def test_rank_error_at_three_sizes(spark, rows):
+    """Daily sketches of skewed values merged into one; half a day's spread of sizes."""
+    value = (F.xxhash64("id") % 1_000_000 / 1_000_000).cast("double")
+    df = spark.range(rows).select((F.col("id") % 30).alias("day"), (F.exp(value * 3) * 100).alias("v"))
+    merged = merge_sketches(sketches(df, ["day"], "v"), [])
+    wanted = {f"q{int(q * 100)}": q for q in (0.01, 0.25, 0.5, 0.95, 0.99)}
+    got = quantiles_of(merged, wanted).first()
+    ordered = sorted(r.v for r in df.collect())
+    assert got.sketched_rows == rows
+    for name, q in wanted.items():
+        low, high = bisect.bisect_left(ordered, got[name]) / rows, bisect.bisect_right(ordered, got[name]) / rows
+        # Three times the error of 99 in 100, so that one unlucky answer in a long while is none.
+        assert low - 3 * rank_error() <= q <= high + 3 * rank_error()
+
+
+def test_few_values_are_exact_and_odd_ones_are_left_out(spark):
+    rows = [("a", float(i)) for i in range(101)] + [("b", None), ("c", float("nan")), ("c", 7.0), (None, 1.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r.k: (r.m, r.p) for r in sketched_percentiles(df, ["k"], "v", {"m": 0.5, "p": 0.95}).collect()}
+    assert got == {"a": (50.0, 95.0), "b": (None, None), "c": (7.0, 7.0), None: (1.0, 1.0)}
+    assert sketched_percentiles(df.limit(0), ["k"], "v", {"m": 0.5}).count() == 0
+
+
+def test_merging_skips_empty_groups(spark):
+    df = spark.createDataFrame([(1, None), (2, 5.0), (2, 6.0), (3, None)], "day int, v double")
+    stored = sketches(df, ["day"], "v")
+    assert [(r.day, r.sketched_rows, r.sketch is None) for r in stored.orderBy("day").collect()] == [
+        (1, 0, True), (2, 2, False), (3, 0, True),
+    ]
+    whole = merge_sketches(stored, []).select("sketched_rows", F.kll_sketch_get_quantile_double("sketch", F.lit(1.0)).alias("most"))
+    assert tuple(whole.first()) == (2, 6.0)
+    assert merge_sketches(stored.where("day <> 2"), []).first().sketch is None
+
+
+def test_a_sketch_stays_small(spark):
+    df = spark.range(1_000_000).select(F.lit(1).alias("k"), F.rand(1).alias("v"))
+    assert sketches(df, ["k"], "v").select(F.octet_length("sketch")).first()[0] < 40 * SIZE
