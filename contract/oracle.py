@@ -712,6 +712,35 @@ FROM ({_standard()})""",
         _in_set("dirty", "dirty", "state", _DIRTY_STATES, mostly=0.98, name="loose_states"),
         _between("dirty", "dirty", "try_number", 1, mostly=0.999, name="strict_tries"),
     ),
+    "sla_pattern_table": """
+, names AS (
+  SELECT 'flow_' || md5(CAST(user_id AS VARCHAR)) AS dag_id, count(*) AS total_runs FROM events GROUP BY ALL),
+patterns AS (
+  SELECT k AS priority, substr(md5(CAST(k AS VARCHAR)), 1, 3 + k % 4) AS pattern,
+         CAST(600 + 60 * (k % 100) AS INTEGER) AS sla_threshold_seconds
+  FROM (SELECT unnest(range(5000)) AS k)),
+matched AS (
+  SELECT dag_id, arg_min(sla_threshold_seconds, priority) AS sla_threshold_seconds
+  FROM names JOIN patterns ON contains(dag_id, pattern) GROUP BY dag_id)
+SELECT dag_id, coalesce(sla_threshold_seconds, 10800) AS sla_threshold_seconds, total_runs
+FROM names LEFT JOIN matched USING (dag_id)""",
+    "win_calendar_7_30": """
+, kept AS (
+  SELECT * FROM daily_outcomes WHERE (day(execution_day) + CAST(right(dag_id, 1) AS INTEGER)) % 3 <> 0),
+by_rows AS (
+  SELECT *, CAST(sum(failed_hundredths) OVER w AS BIGINT) / 100::DOUBLE / count(*) OVER w AS rolling_7_rows
+  FROM kept WINDOW w AS (PARTITION BY dag_id ORDER BY execution_day ROWS 6 PRECEDING)),
+spine AS (
+  SELECT dag_id, unnest(generate_series(min(execution_day), max(execution_day), INTERVAL 1 DAY)) AS execution_day
+  FROM kept GROUP BY dag_id)
+SELECT dag_id, execution_day, total_runs, failed_hundredths / 100::DOUBLE AS failure_rate_percent, rolling_7_rows,
+       CAST(sum(failed_hundredths) OVER week AS BIGINT) / 100::DOUBLE / nullif(count(failed_hundredths) OVER week, 0)
+         AS rolling_7_days,
+       CAST(sum(failed_hundredths) OVER month AS BIGINT) / 100::DOUBLE / nullif(count(failed_hundredths) OVER month, 0)
+         AS rolling_30_days
+FROM spine LEFT JOIN by_rows USING (dag_id, execution_day)
+WINDOW week AS (PARTITION BY dag_id ORDER BY execution_day RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW),
+       month AS (PARTITION BY dag_id ORDER BY execution_day RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW)""",
     "agg_percentile_sketch": """
 SELECT dag_id, task_id, count(*) AS total_executions, true AS median_near, true AS p95_near
 FROM timed_tasks GROUP BY dag_id, task_id""",

@@ -255,6 +255,22 @@ def join_thresholds(spark, sf_dir):
     )
 
 
+@query
+def sla_pattern_table(spark, sf_dir):
+    """The level of every workflow by the first of 5,000 patterns in its name, one workflow per user."""
+    names = fixtures.events(spark, sf_dir).select(
+        F.concat(F.lit("flow_"), F.md5(F.col("user_id").cast("string").cast("binary"))).alias("dag_id")
+    )
+    k = F.col("id")
+    patterns = spark.range(5000).select(
+        k.alias("priority"),
+        F.substring(F.md5(k.cast("string").cast("binary")), F.lit(1), (3 + k % 4).cast("int")).alias("pattern"),
+        (600 + 60 * (k % 100)).cast("int").alias("sla_threshold_seconds"),
+    )
+    levels = ops.sla_from_patterns(names, patterns, default=10800)
+    return levels.groupBy("dag_id", "sla_threshold_seconds").agg(F.count(F.lit(1)).alias("total_runs"))
+
+
 @query
 def join_thresholds_asof(spark, sf_dir):
     """A retry sets a level for its task from then on, a failure one for six hours."""
@@ -381,6 +397,23 @@ def _ranked(spark, sf_dir, column: str, name: str) -> DataFrame:
     return ops.global_row_number(totals, marts.slowest_first(column), name)
 
 
+@query
+def win_calendar_7_30(spark, sf_dir):
+    """Means over calendar days, on history in which a third of the days have no runs."""
+    kept = (F.dayofmonth("execution_date") + F.substring("dag_id", -1, 1).cast("int")) % 3 != 0
+    outcomes = marts.daily_outcomes(_runs(spark, sf_dir).where(kept))
+    by_rows = outcomes.withColumn("rolling_7_rows", ops.rolling_mean("failure_rate_percent", 7))
+    frames = {"rolling_7_days": 7, "rolling_30_days": 30}
+    return ops.calendar_means(by_rows, "failure_rate_percent", frames).select(
+        "dag_id",
+        "execution_day",
+        "total_runs",
+        F.col("failure_rate_percent").cast("double").alias("failure_rate_percent"),
+        "rolling_7_rows",
+        *frames,
+    )
+
+
 @query
 def win_rank_avg(spark, sf_dir):
     return _ranked(spark, sf_dir, "avg_duration_seconds", "rank_by_avg_duration")

@@ -1,6 +1,8 @@
 """Reusable DataFrame operators: percentiles, ranks, rolling means, joins, loads of one row per key."""
 
 from flowgauge.operators.asof import join_thresholds_asof
+from flowgauge.operators.calendar import calendar_means, calendar_spine
+from flowgauge.operators.patterns import matched_levels, sla_from_patterns
 from flowgauge.operators.percentile import (
     counts_by_group,
     grouped_percentiles,
@@ -19,6 +21,8 @@ from flowgauge.operators.rolling import rolling_mean
 from flowgauge.operators.sketch import merge_sketches, quantiles_of, rank_error, sketched_percentiles, sketches
 
 __all__ = [
+    "calendar_means",
+    "calendar_spine",
     "counts_by_group",
     "distinct_tasks",
     "global_row_number",
@@ -27,6 +31,7 @@ __all__ = [
     "join_thresholds",
     "join_thresholds_asof",
     "latest_per_key",
+    "matched_levels",
     "merge_sketches",
     "percentiles_of_counts",
     "quantiles_of",
@@ -34,6 +39,7 @@ __all__ = [
     "rolling_mean",
     "sketched_percentiles",
     "sketches",
+    "sla_from_patterns",
     "sla_thresholds",
     "top_k",
     "value_counts",
