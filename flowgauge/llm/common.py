@@ -62,10 +62,18 @@ def id_bucket(key: Column, parts: int) -> Column:
 def spread_sample(df: DataFrame, place: Column, size: int) -> DataFrame:
     """At most ``size`` rows, those of the smallest ``place`` (a 64-bit hash), the same in every run.
 
-    A bound on the hash, from the number of rows, leaves about twice as many as wanted,
-    so that tasks do not each send ``size`` rows.
+    Rows of one place are one here.  A bound on the hash, from the number of different places,
+    leaves about twice as many as wanted, so that tasks do not each send ``size`` rows.
     """
-    n = df.count()
-    if n > 4 * size:
-        df = df.where(place.cast("double") / 2.0**64 + 0.5 <= 2.0 * size / n)
-    return df.orderBy(place).limit(size)
+    at = fresh("place", df)
+    rows = df.withColumn(at, place)
+    n = rows.agg(F.approx_count_distinct(at)).first()[0]
+    if n > 4 * size + 200:
+        rows = rows.where(F.col(at).cast("double") / 2.0**64 + 0.5 <= (2.0 * size + 50) / n)
+    return rows.dropDuplicates([at]).orderBy(at).limit(size).drop(at)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that this library has written."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

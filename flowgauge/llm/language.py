@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +27,8 @@ PIECE = 64
 BATCH = 2048
 #: Training: texts sampled per language, bytes read of each at random places, rounds.
 TRAIN_TEXTS, TRAIN_PIECES, EPOCHS = 400, 6, 4
+#: Texts that the network learns from, over all languages.
+MOST_TEXTS = 8000
 UNKNOWN = "und"
 
 
@@ -174,8 +176,12 @@ def fit(
     lang: str = "lang",
     held_out: tuple[int, int] = (5, 0),
     per_language: int = TRAIN_TEXTS,
+    most_texts: int = MOST_TEXTS,
 ) -> Network:
-    """Learn from at most ``per_language`` texts of each language, those of the smallest id hashes.
+    """Learn from at most ``per_language`` texts of each language, those of the smallest hashes of id and text.
+
+    There are at most ``most_texts`` of them over all languages, which share these evenly; of
+    more languages than that the most frequent are learned.  Repeated rows count once.
 
     Rows whose id's crc32 leaves remainder ``held_out[1]`` by ``held_out[0]`` are left
     out, and so are rows without language or letters.  Of each text a bounded stretch is
@@ -187,17 +193,21 @@ def fit(
     place = F.xxhash64(F.col("id").cast("string"), F.substring("text", 1, 64))
     start = F.greatest(F.lit(1), F.pmod(place, F.greatest(F.lit(1), F.length("text") - 2000)) + 1).cast("int")
     marked = usable.select("lang", place.alias("place"), F.substr("text", start, F.lit(2000)).cast("binary").alias("text"))
-    # The k smallest of each language, kept small on the way by a limit on the hash.
-    kept = marked.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    limit = marked.join(kept, "lang").where(
-        (F.col("place") / F.lit(2.0**64) + 0.5) <= 3.0 * per_language / F.col("n") + 50.0 / F.col("n")
-    )
-    rows = limit.select("lang", "place", "text").collect()
+    # Copies of one row are one text.  Different texts of each language, counted before any text is sent on.
+    different = marked.select("lang", "place").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    known = different.orderBy(F.desc("n"), "lang").limit(most_texts).collect()
+    if not known:
+        return train([], [])
+    share = min(per_language, max(1, most_texts // len(known)))
+    bounds = [(r.lang, min(2.0, (3.0 * share + 50.0) / r.n)) for r in known]
+    limits = docs.sparkSession.createDataFrame(bounds, "lang string, bound double")
+    # The k smallest of each language; the bound on the hash, one row a language, keeps their texts where they are.
+    near = marked.join(F.broadcast(limits), "lang").where(F.col("place") / F.lit(2.0**64) + 0.5 <= F.col("bound"))
+    order = F.row_number().over(Window.partitionBy("lang").orderBy("place"))
+    rows = near.dropDuplicates(["lang", "place"]).withColumn("at", order).where(F.col("at") <= share).collect()
     best: dict[str, list] = {}
-    for row in sorted(rows, key=lambda r: (r.lang, r.place, bytes(r.text))):
-        best.setdefault(row.lang, [])
-        if len(best[row.lang]) < per_language:
-            best[row.lang].append(bytes(row.text))
+    for row in sorted(rows, key=lambda r: (r.lang, r.place)):
+        best.setdefault(row.lang, []).append(bytes(row.text))
     texts = [t for name in sorted(best) for t in best[name]]
     labels = [name for name in sorted(best) for _ in best[name]]
     return train(texts, labels)

@@ -127,12 +127,15 @@ def fit(
     marked = labels.select(col(id).alias("id"), col(label).cast("int").alias("label")).where(
         (id_bucket(F.col("id"), held_out[0]) != held_out[1]) & F.col("label").isNotNull()
     )
-    chosen = spread_sample(marked, F.xxhash64("id"), sample)
+    # Of several labels of one id the largest counts.
+    chosen = spread_sample(marked.groupBy("id").agg(F.max("label").alias("label")), F.xxhash64("id"), sample)
     texts = docs.select(col(id).alias("id"), col(text).cast("binary").alias("text")).where(
         F.coalesce(F.octet_length("text"), F.lit(0)) <= TRAIN_BYTES
     )
     lowered = F.lower(F.col("text").cast("string")).cast("binary")
-    rows = texts.join(F.broadcast(chosen), "id").select("id", "label", lowered.alias("text")).limit(2 * sample).collect()
+    # Repeated rows are one; several texts of one id count, up to twice the sample in the order of a hash.
+    joined = texts.join(F.broadcast(chosen), "id").select("id", "label", lowered.alias("text")).dropDuplicates(["id", "text"])
+    rows = joined.orderBy(F.xxhash64("id", "text")).limit(2 * sample).collect()
     rows.sort(key=lambda r: (str(r.id), bytes(r.text or b"")))
     return train([bytes(r.text) if r.text is not None else None for r in rows], [int(r.label != 0) for r in rows])
 

@@ -107,3 +107,61 @@ def test_features_in_slices_are_those_of_the_whole(monkeypatch):
     whole = sorted(toxicity.features(text).tolist())
     monkeypatch.setattr(toxicity, "SLICE", 333)
     assert sorted(toxicity.features(text).tolist()) == whole
+
+
+def test_copies_do_not_empty_the_sample(spark):
+    """20,000 copies of one text beside another language: both are learned."""
+    copies = spark.range(20_000).selectExpr("1L as doc_id", "'the same english words again and again' as text", "'en' as lang")
+    others = spark.range(300).selectExpr("id + 10 as doc_id", "concat('ein anderer satz auf deutsch ', id) as text", "'de' as lang")
+    net = language.fit(copies.union(others))
+    assert net.languages == ["de", "en"]
+
+
+def test_one_bound_over_many_languages(spark):
+    docs = spark.range(3000).selectExpr("id as doc_id", "concat('text number ', id) as text", "string(id % 300) as lang")
+    seen = []
+
+    def train(texts, labels, **_):
+        seen.append((len(texts), len(set(labels))))
+        return language.Network.new(sorted(set(labels)))
+
+    original, language.train = language.train, train
+    try:
+        language.fit(docs, most_texts=500)
+        language.fit(docs, most_texts=100)
+        language.fit(docs, per_language=2)
+    finally:
+        language.train = original
+    assert seen[0] == (300, 300) and seen[1] == (100, 100) and seen[2][1] == 300 and seen[2][0] <= 600
+
+
+def test_samples_take_distinct_places(spark):
+    from flowgauge.llm.common import spread_sample
+
+    same = spark.range(100_001).selectExpr("7L as id", "1 as v")
+    assert spread_sample(same, language.F.xxhash64("id"), 10).count() == 1
+    mixed = same.union(spark.range(5000).selectExpr("id + 100", "2"))
+    rows = spread_sample(mixed, language.F.xxhash64("id"), 50).collect()
+    assert len(rows) == 50 == len({r.id for r in rows})
+    assert rows == spread_sample(mixed.repartition(3), language.F.xxhash64("id"), 50).collect()
+
+
+def test_repeated_labelled_rows_fit_one_model(spark):
+    docs = spark.range(400).selectExpr("id % 40 as doc_id", "concat(if(id % 2 = 0, 'kind words ', 'vile slur '), id % 40) as text")
+    labels = spark.range(40).selectExpr("id as doc_id", "int(id % 2) as toxic")
+    a, b = (toxicity.fit(d, labels, sample=20) for d in (docs, docs.repartition(7)))
+    assert np.array_equal(a.weights, b.weights) and a.intercept == b.intercept
+
+
+def test_language_scores_against_a_plain_pass(net, spark):
+    """Probabilities recomputed by a loop over the bytes of every piece, one at a time."""
+    texts = [r.text.encode() for r in spark.read.parquet(f"{TRAINED}/documents.parquet").where("length(text) < 600").limit(6).collect()]
+    for text, found in zip(texts, language._label(texts, net)):
+        total, n = np.zeros(len(net.languages)), 0
+        for piece in language._pieces(text):
+            codes = piece[None]
+            own = net.positions(codes)[:, 0]
+            for at, code in enumerate(piece):
+                if code != 0:
+                    total, n = total + own[at], n + 1
+        assert np.allclose(found, total / total.sum(), atol=1e-4)
