@@ -200,224 +200,28 @@ def simhash_groups(
     )
 
 
-# --- groups of texts whose shingles are alike ----------------------------------------
-
-#: Shingles of two words mark a text: their fingerprints move less with a changed word than longer ones do.
-MARK_WORDS, MARK_BITS = 2, 6
-#: Independent fingerprints of a text; a pair is a candidate if one of them is near.
-MARKS = 6
-#: Texts under one key beyond which they are compared in blocks, and the texts of a block.
-CROWD_KEY, CROWD_BLOCK = 64, 128
-
-
-def _remixed(hashes: np.ndarray, turn: int) -> np.ndarray:
-    """Other hashes for each ``turn`` but 0, by the mixing function of SplitMix64."""
-    if not turn:
-        return hashes
-    x = hashes + np.uint64(turn * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return (x ^ (x >> np.uint64(31))).astype("<u8")
-
-
-def text_marks(text: bytes | None) -> list[int]:
-    """``MARKS`` fingerprints of a text; the first is ``fingerprint`` over ``MARK_WORDS`` words."""
-    ones, n = np.zeros((MARKS, 64), np.int64), 0
-    for h in shingle_hashes(text, MARK_WORDS):
-        n += len(h)
-        for turn in range(MARKS):
-            bits = np.unpackbits(_remixed(h, turn).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            ones[turn] += bits.sum(0, dtype=np.int32)
-    return np.packbits(ones * 2 > n, axis=1, bitorder="little").view("<i8")[:, 0].tolist()
-
-
-def _texts(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """(node, no, marks) of every different text: node is its smallest id and text hash, no a number.
-
-    Texts with the same words are copies, and one here.
-    """
-    import xxhash
-
-    node = F.struct(col(id).alias("id"), F.xxhash64(col(text)).alias("mark"))
-    narrow = docs.select(node.alias("node"), col(text).cast("binary").alias("text"))
-
-    def run(batches):
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            same = [xxhash.xxh3_128(b" ".join((t or b"").lower().split())).digest() for t in texts]
-            marks = pa.array([text_marks(t) for t in texts], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(same, pa.binary()), marks], ["node", "copy", "marks"])
-
-    schema = T.StructType([narrow.schema["node"]]).add("copy", "binary").add("marks", T.ArrayType(T.LongType()))
-    distinct = narrow.mapInArrow(run, schema).groupBy("copy").agg(F.min("node").alias("node"), F.first("marks").alias("marks"))
-    return cut(distinct.select("node", F.monotonically_increasing_id().alias("no"), "marks"))
-
-
-def _sets(docs: DataFrame, texts: DataFrame, numbers: DataFrame, id: str, text: str, words: int) -> DataFrame:
-    """(no, set): the sorted hashes of the different shingles of the texts ``numbers``, 8 bytes each."""
-    node = F.struct(col(id).alias("id"), F.xxhash64(col(text)).alias("mark")).alias("node")
-    wanted = texts.select("node", "no").join(numbers.select("no").distinct(), "no", "left_semi")
-    found = docs.select(node, col(text).cast("binary").alias("text")).join(wanted, "node").select("no", "text")
-
-    def run(batches):
-        for batch in batches:
-            for i in range(0, batch.num_rows, 500):
-                part = batch.slice(i, 500)
-                sets = [np.unique(np.concatenate([*shingle_hashes(t.as_py(), words), np.zeros(0, "<u8")])) for t in part.column(1)]
-                packed = pa.array([s.tobytes() for s in sets], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column(0), packed], ["no", "set"])
-
-    return found.mapInArrow(run, "no long, set binary").dropDuplicates(["no"])
-
-
-def _alike(docs: DataFrame, texts: DataFrame, pairs: DataFrame, id: str, text: str, words: int, least: float) -> DataFrame:
-    """Those of the pairs (a, b) whose sets of shingles have a Jaccard similarity of ``least`` or more."""
-    numbers = pairs.select(F.col("a").alias("no")).unionByName(pairs.select(F.col("b").alias("no")))
-    sets = _sets(docs, texts, numbers, id, text, words)
-    both = pairs.join(sets.select(F.col("no").alias("a"), F.col("set").alias("set_a")), "a").join(
-        sets.select(F.col("no").alias("b"), F.col("set").alias("set_b")), "b"
-    )
-
-    def judge(batches):
-        for batch in batches:
-            good = []
-            for x, y in zip(batch.column("set_a"), batch.column("set_b")):
-                x, y = (np.frombuffer(v.as_py(), "<u8") for v in (x, y))
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(shared >= least * (len(x) + len(y) - shared))
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    return both.select("a", "b", "set_a", "set_b").mapInArrow(judge, "a long, b long")
-
-
-def _compare(tile: pa.Table, least: float) -> pa.Table:
-    """A forest (a, b) of the links among the texts of a tile, from products of their incidence matrices."""
-    sets = [np.frombuffer(v.as_py(), "<u8") for v in tile["set"]]
-    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
-    _, place = np.unique(np.concatenate(sets), return_inverse=True)
-    order = np.argsort(place, kind="stable")
-    place, owner = place[order], np.repeat(np.arange(len(sets)), sizes)[order]
-    shared = np.zeros((len(sets), len(sets)))
-    for at in range(0, int(place[-1]) + 1 if len(place) else 0, 8192):
-        part = slice(*np.searchsorted(place, [at, at + 8192]))
-        has = np.zeros((len(sets), 8192), np.float32)
-        has[owner[part], place[part] - at] = 1
-        shared += has @ has.T
-    linked = shared >= least * (sizes[:, None] + sizes[None, :] - shared)
-    # The rule for pairs holds here too: one of the fingerprints is near.
-    marks, near = np.array(tile["marks"].to_pylist(), np.int64), np.zeros(linked.shape, bool)
-    for mark in marks.T:
-        near |= np.bitwise_count((mark[:, None] ^ mark[None, :]).view(np.uint64)) <= MARK_BITS
-    linked &= near
-    root, open_ = np.arange(len(sets)), np.ones(len(sets), bool)
-    for start in range(len(sets)):
-        front = np.array([start])[open_[[start]]]
-        while len(front):
-            open_[front], root[front] = False, start
-            front = np.flatnonzero(linked[front].any(0) & open_)
-    no, moved = tile["no"].combine_chunks(), np.flatnonzero(root != np.arange(len(sets)))
-    return pa.table({"a": no.take(pa.array(root[moved])), "b": no.take(pa.array(moved))})
-
-
-def _crowd_links(docs: DataFrame, texts: DataFrame, members: DataFrame, id: str, text: str, words: int, least: float) -> DataFrame:
-    """Links (a, b) among texts under one crowded key: cut into blocks, each pair of blocks compared in one place.
-
-    ``members`` has (no, group, start, key).  A group that fills a block has blocks of its
-    own, which are not compared with one another.
-    """
-    key = ["start", "key"]
-    sizes = members.groupBy(*key, "group").agg(F.count(F.lit(1)).alias("n"))
-    own = F.col("n") >= CROWD_BLOCK
-    sizes = sizes.withColumn("of", F.when(own, F.col("group")).otherwise(F.lit(-1)))
-    blocks = sizes.groupBy(*key, "of").agg(F.ceil(F.sum("n") / CROWD_BLOCK).cast("long").alias("blocks"))
-    placed = members.join(sizes.select(*key, "group", "of"), [*key, "group"]).join(blocks, [*key, "of"])
-    placed = cut(placed.select(*key, "no", "of", F.pmod(F.xxhash64("no"), F.col("blocks")).alias("block")))
-    known = placed.groupBy(*key, "of", "block").agg(F.count(F.lit(1)).alias("n"))
-    at = F.struct("of", "block")
-    i, j = known.select(*key, at.alias("i")), known.select(*key, at.alias("j"))
-    tiles = i.join(j, key).where((F.col("i") <= F.col("j")) & ((F.col("i.of") == -1) | (F.col("i.of") != F.col("j.of"))))
-    ends = F.explode(F.array_distinct(F.array("i", "j"))).alias("at")
-    spread = placed.select(*key, "no", at.alias("at")).join(tiles.select(*key, "i", "j", ends), [*key, "at"])
-    sets = _sets(docs, texts, placed, id, text, words).join(texts.select("no", "marks"), "no")
-    whole = spread.join(sets, "no").select("no", *key, F.xxhash64("i", "j").alias("tile"), "set", "marks")
-    return whole.groupBy(*key, "tile").applyInArrow(lambda tile: _compare(tile, least), "a long, b long")
-
-
-def _links(docs: DataFrame, texts: DataFrame, marks: DataFrame, id: str, text: str, words: int, least: float, n: int) -> DataFrame:
-    """Links (a, b) that join the groups of texts with a near fingerprint and alike shingles.
-
-    ``marks`` has (no, group, mark, fingerprint); ``mark`` is the number of the fingerprint.
-    Texts of one group are linked already.
-    """
-    # Longer keys for more texts; a crowd is far denser than chance would have it.
-    length = 2 if n <= 1 << 21 else 3
-    # The number of the fingerprint is part of the key, above the bits of its segments.
-    full = F.col("key").bitwiseOR(F.call_function("shiftleft", F.col("mark").cast("long"), F.lit(48)))
-    index = _index(marks, length).withColumn("key", full)
-    crowded = cut(_crowded(index, max(CROWD_KEY, 8.0 * n / (1 << BITS * length))))
-    members = cut(index.join(crowded, ["start", "key"]).select("no", "group", "mark", "start", "key"))
-    together = cut(_crowd_links(docs, texts, members.drop("mark"), id, text, words, least))
-    hot = F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("start"))).alias("hot")
-    masked = marks.join(members.groupBy("no", "mark").agg(hot), ["no", "mark"], "left")
-    # Bit i of ``hot``: the key i segments on is crowded.
-    twice = F.coalesce("hot", F.lit(0)) * F.lit((1 << SEGMENTS) + 1)
-    probe = _index(masked, length).withColumn("hot", F.call_function("shiftright", twice, F.col("start")))
-    of_mark = F.call_function("shiftleft", F.col("mark").cast("long"), F.lit(48))
-    probe = _cells(probe, MARK_BITS, length).select("no", "group", "turned", "hot", F.col("cell").bitwiseOR(of_mark).alias("cell"))
-    a, b = probe.alias("a"), probe.alias("b")
-    apart = F.col("a.turned").bitwiseXOR(F.col("b.turned"))
-    within = (F.col("a.cell") == F.col("b.cell")) & (F.col("a.no") < F.col("b.no")) & (F.col("a.group") != F.col("b.group"))
-    within &= _chain(apart, MARK_BITS)
-    for i in range(SEGMENTS):
-        key = _turned(F.lit(i), apart).bitwiseAND(F.lit((1 << (BITS * length)) - 1))
-        within &= ~((key == 0) & (F.col("a.hot").bitwiseAND(F.lit(1 << i)) != 0))
-    pairs = a.join(b, within).select(F.col("a.no").alias("a"), F.col("b.no").alias("b"))
-    candidates = cut(pairs.distinct())
-    nearest = candidates.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    first = cut(_alike(docs, texts, nearest, id, text, words, least))
-    groups = components(first.unionByName(together))
-    group = lambda x: groups.select(F.col("node").alias(x), F.col("component").alias(f"{x}_group"))
-    open_ = (
-        candidates.join(group("a"), "a", "left")
-        .join(group("b"), "b", "left")
-        .where("coalesce(a_group, a) <> coalesce(b_group, b)")
-        .select("a", "b")
-        .join(nearest, ["a", "b"], "left_anti")
-    )
-    return first.unionByName(together).unionByName(cut(_alike(docs, texts, cut(open_), id, text, words, least)))
-
-
 def drop_near_duplicates(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5, least: float = 0.8
+    docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 3, bits: int = 2
 ) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: of each group the first by id stays.
-
-    A text has ``MARKS`` fingerprints over shingles of ``MARK_WORDS`` words.  Two texts link
-    if one of them differs in at most ``MARK_BITS`` bits and the Jaccard similarity of their
-    shingles of ``words`` words is ``least`` or more.  Groups are connected components.
-    Texts equal but for case and white space are copies and are compared once.  Texts
-    whose fingerprints share a crowded key are compared in blocks, without pairs, by the same
-    rule.  Each other text is first compared with its smallest candidate; after that only
-    candidates that are not yet in one group are.  The first fingerprint's groups are found
-    first; the others only look for links between groups.  Texts without a word, null ones
-    too, are copies of one another; so are rows that agree in id and text.
+    """The rows of ``docs`` without near-duplicates: of each group of ``simhash_groups`` one row stays.
+
+    It is the one with the smallest id, null ids last, and of equal ids the one whose text has the
+    smallest hash.  Of rows that agree in id and text one stays, whatever their other
+    columns.  Texts without a word, null ones too, are one group.
     """
-    texts = _texts(docs, id, text)
-    n = texts.count()
-    mark = F.posexplode("marks").alias("mark", "fingerprint")
-    marks = texts.select("no", mark)
-    first = marks.where("mark = 0").withColumn("group", F.col("no"))
-    edges = cut(_links(docs, texts, first, id, text, words, least, n))
-    groups = components(edges)
-    rest = marks.where("mark > 0").join(groups.withColumnRenamed("node", "no"), "no", "left")
-    rest = rest.select("no", "mark", "fingerprint", F.coalesce("component", "no").alias("group"))
-    more = cut(_links(docs, texts, rest, id, text, words, least, n))
-    groups = components(edges.unionByName(more)).withColumnRenamed("node", "no")
-    # Numbers follow no order; the first of a group is its smallest node.
-    named = texts.select("node", "no").join(groups, "no", "left")
-    kept = named.groupBy(F.coalesce("component", "no")).agg(F.min("node").alias("node"))
-    own, mark = fresh("own_id", docs), fresh("own_mark", docs)
-    marked = docs.withColumn(mark, F.xxhash64(col(text))).withColumn(own, col(id))
-    keys = kept.select(F.col("node.id").alias("kept_id"), F.col("node.mark").alias("kept_mark"))
-    stay = marked.join(keys, F.col(own).eqNullSafe(F.col("kept_id")) & (F.col(mark) == F.col("kept_mark")), "left_semi")
-    return stay.dropDuplicates([own, mark]).select(*[col(c) for c in docs.columns])
+    node = F.struct(col(id).isNull().alias("unnamed"), col(id).alias("id"), F.xxhash64(col(text)).alias("mark"))
+    rows = cut(fingerprints(docs.select(node.alias("n"), col(text).alias("t")), "n", "t", words))
+    marks = cut(rows.groupBy("fingerprint").agg(F.min("node").alias("node")))
+    linked = components(close_pairs(marks.select("fingerprint"), bits)).withColumnRenamed("node", "fingerprint")
+    named = marks.join(linked, "fingerprint", "left")
+    kept = named.groupBy(F.coalesce("component", "fingerprint")).agg(F.min("node").alias("node"))
+    # Plain keys without nulls: the join and the last step then share one shuffle of the texts.
+    keys = [fresh(f"own_{k}", docs) for k in ("unnamed", "id", "mark")]
+    values = (col(id).isNull(), F.coalesce(col(id).cast("string"), F.lit("")), F.coalesce(F.xxhash64(col(text)), F.lit(0)))
+    marked = docs.withColumns(dict(zip(keys, values)))
+    found = kept.select(
+        F.col("node.unnamed").alias(keys[0]),
+        F.coalesce(F.col("node.id").cast("string"), F.lit("")).alias(keys[1]),
+        F.col("node.mark").alias(keys[2]),
+    )
+    return marked.join(found, keys, "left_semi").dropDuplicates(keys).select(*[col(c) for c in docs.columns])

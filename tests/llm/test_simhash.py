@@ -89,126 +89,57 @@ def test_crowded_keys_link_the_same_groups(spark, monkeypatch):
     assert found == want
 
 
-def test_near_duplicates_stay_once(docs):
-    rng = random.Random(2)
-    words = [f"w{i}" for i in range(5000)]
-    text = [rng.choice(words) for _ in range(300)]
-    near = text[:150] + ["changed"] + text[151:]
-    far = text[:200] + [rng.choice(words) for _ in range(100)]
-    rows = [(5, " ".join(text)), (3, " ".join(near)), (9, " ".join(text).upper()), (4, " ".join(far)), (6, None), (7, ""), (8, "solo")]
-    rows += [(8, "solo"), (2, " ".join(rng.choice(words) for _ in range(300)))]
-    kept = simhash.drop_near_duplicates(docs(*rows)).collect()
-    assert sorted(r.doc_id for r in kept) == [2, 3, 4, 6, 8]
-    assert all(r["size"] == 1 and r.node == "x" for r in kept)
+def kept_by_brute_force(rows, bits=2):
+    """Per group of near fingerprints the smallest id, found by comparing all of them."""
+    marks = sorted({(d is None, d, plain_mark(t)) for d, t in rows}, key=lambda r: (r[0], r[1] or 0, r[2]))
+    left, kept = list(marks), []
+    while left:
+        group, front = [left[0]], [left[0]]
+        rest = left[1:]
+        while front:
+            x = front.pop()
+            near = [y for y in rest if ((x[2] ^ y[2]) & (2**64 - 1)).bit_count() <= bits]
+            rest = [y for y in rest if y not in near]
+            group += near
+            front += near
+        kept.append(min(group)[1])
+        left = rest
+    return sorted(kept, key=str)
 
 
-def test_crowds_of_near_duplicates(docs, monkeypatch):
-    """Blocks compare all that share a key, pairs only what is near in bits too: what stays lies between brute force and pairs."""
-    rng = random.Random(5)
-    words = [f"w{i}" for i in range(3000)]
+def test_near_duplicates_stay_once(docs):
+    rng = random.Random(2)
+    words = [f"w{i}" for i in range(500)]
     rows = []
-    for group in range(2):
-        base = [rng.choice(words) for _ in range(200)]
-        for i in range(60):
+    for group in range(12):
+        base = [rng.choice(words) for _ in range(400)]
+        for i in range(rng.randrange(1, 6)):
             text = list(base)
-            for _ in range(rng.randrange(1, 7)):
-                text[rng.randrange(200)] = rng.choice(words)
-            rows.append((1000 * group + i, " ".join(text)))
-    df = docs(*rows)
-    sets = {d: {tuple(t.split()[i : i + 5]) for i in range(196)} for d, t in rows}
-    from tests.llm.test_graph import brute
+            text[rng.randrange(400)] = rng.choice(words)
+            rows.append((100 * i + group, " ".join(text)))
+    rows += [(5000, None), (5001, ""), (5002, " \n"), (0, rows[0][1]), (None, rows[0][1].upper()), (None, "a null id alone")]
+    kept = simhash.drop_near_duplicates(docs(*rows)).collect()
+    assert sorted((r.doc_id for r in kept), key=str) == kept_by_brute_force(rows)
+    assert {5001, 5002} & {r.doc_id for r in kept} == set() and len(kept) < len(rows)
+    assert all(r["size"] == 1 and r.node is None or r.node == "x" and r.mark == 2.0 for r in kept)
 
-    alike = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
-    group = brute(alike)
-    truth = {d for d in sets if group.get(d, d) == d}
-    pairs = {r.doc_id for r in simhash.drop_near_duplicates(df).collect()}
-    monkeypatch.setattr(simhash, "CROWD_KEY", 5)
-    monkeypatch.setattr(simhash, "CROWD_BLOCK", 16)
-    blocks = {r.doc_id for r in simhash.drop_near_duplicates(df).collect()}
-    assert truth <= blocks <= pairs
 
+def test_stage_keeps_one_of_each_group_of_the_operator(spark, table):
+    groups = simhash.simhash_groups(table("documents")).collect()
+    kept = simhash.drop_near_duplicates(table("documents")).collect()
+    assert sorted(r.doc_id for r in kept) == sorted({r.component_id for r in groups})
 
-def test_near_duplicates_of_nothing(docs):
-    assert simhash.drop_near_duplicates(docs()).count() == 0
 
+def test_a_large_group_of_copies(docs):
+    rows = [(i, "the same words over and over again") for i in range(3000)] + [(9000, "other words here")]
+    assert sorted(r.doc_id for r in simhash.drop_near_duplicates(docs(*rows)).collect()) == [0, 9000]
 
-def kept_by_brute_force(rows, least=0.8, words=5):
-    """Ids that stay if all texts are compared."""
-    from tests.llm.test_graph import brute
 
-    parts = {d: t.lower().split() for d, t in rows}
-    sets = {d: {tuple(w[i : i + words]) for i in range(max(1, len(w) - words + 1))} for d, w in parts.items()}
-    alike = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b])]
-    group = brute(alike)
-    return {d for d in sets if group.get(d, d) == d}
+def test_near_duplicates_of_nothing(docs):
+    assert simhash.drop_near_duplicates(docs()).count() == 0
 
 
-def boilerplate(groups, copies, seed=7):
-    """Texts ruled by one repeated passage, so that different ones have one fingerprint."""
-    rng = random.Random(seed)
-    words = [f"w{i}" for i in range(3000)]
-    rows = []
-    for group in range(groups):
-        base = [rng.choice(words) for _ in range(150)]
-        for i in range(copies):
-            text = list(base)
-            text[rng.randrange(150)] = rng.choice(words)
-            rows.append((1000 * i + group, " ".join(["all rights reserved"] * 400 + text)))
-    return rows
-
-
-@pytest.mark.parametrize("crowd", [64, 5])
-def test_all_texts_of_a_fingerprint_are_compared(docs, monkeypatch, crowd):
-    monkeypatch.setattr(simhash, "CROWD_KEY", crowd)
-    monkeypatch.setattr(simhash, "CROWD_BLOCK", 4 if crowd == 5 else 128)
-    rows = boilerplate(6, 4)
-    assert len({plain_mark(t, 2) for _, t in rows}) < 6
-    kept = sorted(r.doc_id for r in simhash.drop_near_duplicates(docs(*rows)).collect())
-    assert kept == sorted(kept_by_brute_force(rows)) == list(range(6))
-
-
-def test_several_fingerprints_find_edited_texts():
-    """Recall over pairs of different texts only, with a similarity of 0.8 to 0.9."""
-    rng = random.Random(11)
-    words = [f"w{i}" for i in range(3000)]
-    near = [0, 0]
-    for _ in range(200):
-        base = [rng.choice(words) for _ in range(300)]
-        text = list(base)
-        for at in rng.sample(range(300), 5):
-            text[at] = rng.choice(words)
-        a, b = (simhash.text_marks(" ".join(t).encode()) for t in (base, text))
-        apart = [((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(a, b)]
-        near[0] += apart[0] <= simhash.MARK_BITS
-        near[1] += min(apart) <= simhash.MARK_BITS
-    assert near[0] < 0.95 * 200 <= near[1]
-
-
-def test_crowds_link_by_the_rule_of_pairs():
-    import numpy as np
-    import pyarrow as pa
-
-    def links(*marks):
-        one = np.arange(50, dtype="<u8").tobytes()
-        tile = pa.table({"no": list(range(len(marks))), "set": [one] * len(marks), "marks": pa.array(marks, pa.list_(pa.int64()))})
-        return simhash._compare(tile, 0.8).to_pylist()
-
-    assert links([0, 0], [-1, 127]) == []
-    assert links([0, 0], [-1, 63]) == [{"a": 0, "b": 1}]
-
-
-def test_what_counts_as_a_crowd_changes_nothing(docs, monkeypatch):
-    rng = random.Random(4)
-    words = [f"w{i}" for i in range(3000)]
-    base = [rng.choice(words) for _ in range(120)]
-    rows = []
-    for i in range(40):
-        text = list(base)
-        for at in rng.sample(range(120), rng.randrange(1, 7)):
-            text[at] = rng.choice(words)
-        rows.append((i, " ".join(text)))
-    df = docs(*rows)
-    kept = sorted(r.doc_id for r in simhash.drop_near_duplicates(df).collect())
-    monkeypatch.setattr(simhash, "CROWD_KEY", 5)
-    monkeypatch.setattr(simhash, "CROWD_BLOCK", 8)
-    assert sorted(r.doc_id for r in simhash.drop_near_duplicates(df).collect()) == kept
+def test_texts_are_shuffled_once(docs):
+    plan = simhash.drop_near_duplicates(docs((1, "a b c"), (2, "d"))).select("doc_id", "text")
+    found = plan._jdf.queryExecution().executedPlan().toString()
+    assert found.count("Exchange hashpartitioning(own_unnamed") <= 2
