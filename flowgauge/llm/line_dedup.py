@@ -2,10 +2,10 @@
 
 A window is the shortest sequence of lines that reaches ``min_words`` words, once from
 each line on and once up to each line; every repeated passage of that length contains
-the windows of all its lines.  The smallest line hash of a window is its fingerprint
-(winnowing).  Windows meet by fingerprint and content, and the first place of each in the
-order of documents is its original.  Windows from a line on and up to a line extend a match both
-ways, to the last line that it shares.  Later windows join to runs, which are deleted.
+the windows of all its lines.  No minima are selected: every window is joined by the hash of
+its whole content, and the first place of each in the order of documents is its original.  Windows
+from a line on and up to a line reach as far both ways as a match does.
+Later windows join to runs, which are deleted.
 """
 
 from __future__ import annotations
@@ -26,11 +26,9 @@ def _windows(docs: DataFrame, id: str, text: str, min_words: int) -> DataFrame:
     Rows that agree in both are one here.  Lines without a word are skipped.
     """
     lines = (
-        docs.select(
-            col(id).alias("id"),
-            F.xxhash64(col(text)).alias("mark"),
-            F.posexplode(F.split(col(text), "\n")).alias("line", "s"),
-        )
+        # The whole text is hashed below the explode: beside it, it would be hashed once a line.
+        docs.select(col(id).alias("id"), F.xxhash64(col(text)).alias("mark"), F.split(col(text), "\n").alias("lines"))
+        .select("id", "mark", F.posexplode("lines").alias("line", "s"))
         .select("id", "mark", "line", F.xxhash64("s").alias("hash"), word_count(F.col("s")).alias("words"))
         .where("words > 0")
         .repartition("id", "mark")

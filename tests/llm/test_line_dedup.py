@@ -68,3 +68,16 @@ def test_no_rows_and_null_ids(docs):
 def test_plan_is_native(docs):
     plan = line_dedup.dedup_lines(docs((1, "a")))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_texts_are_not_hashed_once_a_line(docs):
+    """The hash of the whole text lies below the step that cuts it into lines."""
+    plan = line_dedup._windows(docs((1, "a\nb")), "doc_id", "text", 50)._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: plan.index("Generate posexplode")]
+    assert "xxhash64(text" not in above and "xxhash64(text" in plan
+
+
+def test_very_long_texts(docs):
+    lines = [f"line number {i} of a text" for i in range(40_000)]
+    out = line_dedup.dedup_lines(docs((1, "\n".join(lines)), (2, "\n".join(["x", *lines[:20_000], "y"]))), removed="gone").collect()
+    assert {(r.doc_id, r.gone, len(r.text)) for r in out} == {(1, 0, len("\n".join(lines))), (2, 20_000, 3)}
