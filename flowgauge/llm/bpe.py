@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowgauge.llm.common import col, ship
+from flowgauge.llm.common import col, give_back, ship, tidy
 
 ship(__name__)
 
@@ -320,7 +320,7 @@ def round_trip(
     """
     spec = read_tokenizer(tokenizer)
     split = _with_words(docs, id, text, spec)
-    words = split.mapInArrow(lambda b: _word_rows(b, spec), "block long, code int, word string")
+    words = split.mapInArrow(tidy(lambda b: _word_rows(b, spec)), "block long, code int, word string")
     # The join's own null test, set before the shuffle, so that the shuffle is the same on both sides.
     words = words.where("word is not null").repartition("word")
 
@@ -335,10 +335,10 @@ def round_trip(
     # all its columns.  Called nondeterministic, the encoder stays above the aggregate.
     distinct = words.groupBy("word").agg(F.min("block").alias("b"), F.min("code").alias("c"))
     table = distinct.where("b is not null and c >= 0").select("word", encode.asNondeterministic()("word").alias("ids"))
-    back = words.join(table, "word").select("block", "code", "ids").mapInArrow(_packs, PACK)
+    back = words.join(table, "word").select("block", "code", "ids").mapInArrow(tidy(_packs), PACK)
     kind = docs.select(col(id)).schema[0].dataType
     rows = split.mapInArrow(
-        lambda b: _doc_rows(b, spec),
+        tidy(lambda b: _doc_rows(b, spec)),
         T.StructType()
         .add("block", "long")
         .add("id", T.ArrayType(kind))
@@ -348,10 +348,16 @@ def round_trip(
     schema = T.StructType().add("id", kind).add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
     schema = schema.add("ids", T.ArrayType(T.IntegerType())) if lists else schema
     schema = schema.add("decoded", "string") if decoded else schema
+
+    def put(a, b):
+        out = _put_in_place(a, b, spec, lists, decoded)
+        give_back()
+        return out
+
     return (
         rows.groupBy("block")
         .cogroup(back.groupBy("block"))
-        .applyInArrow(lambda a, b: _put_in_place(a, b, spec, lists, decoded), schema)
+        .applyInArrow(put, schema)
         .withColumnRenamed("id", id)
     )
 

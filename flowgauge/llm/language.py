@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowgauge.llm.common import col, id_bucket, ship
+from flowgauge.llm.common import col, id_bucket, ship, tidy
 
 ship(__name__)
 
@@ -269,4 +269,4 @@ def predict(docs: DataFrame, net: Network, id: str = "doc_id", text: str = "text
                 [batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["id", "lang_pred", "score"]
             )
 
-    return rows.mapInArrow(run, schema).withColumnRenamed("id", id)
+    return rows.mapInArrow(tidy(run), schema).withColumnRenamed("id", id)

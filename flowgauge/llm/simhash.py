@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowgauge.llm.common import col, cut, fresh, ship
+from flowgauge.llm.common import col, cut, fresh, ship, tidy
 from flowgauge.llm.graph import components
 
 ship(__name__)
@@ -72,7 +72,7 @@ def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", words:
             yield pa.RecordBatch.from_arrays([batch.column(0), marks], ["node", "fingerprint"])
 
     schema = T.StructType([narrow.schema["node"], T.StructField("fingerprint", T.LongType())])
-    return narrow.mapInArrow(run, schema)
+    return narrow.mapInArrow(tidy(run), schema)
 
 
 def _budgets(bits: int) -> list[int]:
