@@ -741,6 +741,15 @@ SELECT dag_id, execution_day, total_runs, failed_hundredths / 100::DOUBLE AS fai
 FROM spine LEFT JOIN by_rows USING (dag_id, execution_day)
 WINDOW week AS (PARTITION BY dag_id ORDER BY execution_day RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW),
        month AS (PARTITION BY dag_id ORDER BY execution_day RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW)""",
+    "exp_evidence": """
+, broken AS (
+  SELECT 'not_null_dirty_dag_id' AS check_name, 'null' AS value FROM dirty WHERE dag_id IS NULL
+  UNION ALL SELECT 'in_set_dirty_state', state FROM dirty WHERE state <> 'success'
+  UNION ALL SELECT 'between_dirty_try_number', CAST(try_number AS VARCHAR) FROM dirty WHERE try_number < 1
+  UNION ALL SELECT 'between_dirty_duration', CAST(duration AS VARCHAR) FROM dirty WHERE duration < 0)
+SELECT check_name, CAST(sum(count(*)) OVER (PARTITION BY check_name) AS BIGINT) AS failed, true AS some_examples,
+       true AS examples_broke_it, value, count(*) AS rows
+FROM broken GROUP BY check_name, value""",
     "agg_percentile_sketch": """
 SELECT dag_id, task_id, count(*) AS total_executions, true AS median_near, true AS p95_near
 FROM timed_tasks GROUP BY dag_id, task_id""",

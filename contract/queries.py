@@ -37,6 +37,7 @@ from flowgauge.quality import (
     summarize,
     task_instances_suite,
 )
+from flowgauge.quality.evidence import evidence
 from flowgauge.quality.model_tests import accepted_range, accepted_values, not_null
 from flowgauge.quality.rules import settled
 from flowgauge.quality.suites import RULES_TABLE
@@ -654,6 +655,38 @@ def exp_statistics(spark, sf_dir):
     return statistics(reduce(DataFrame.unionByName, results))
 
 
+@query
+def exp_evidence(spark, sf_dir):
+    """What broke the rules: their most frequent values, and whether the rows shown as examples did break them."""
+    dirty = staging.stg_task_instances(fixtures.dirty_rows(spark, sf_dir))
+    rules = [
+        NotNull(column="dag_id"),
+        InSet(column="state", values=("success",)),
+        Between(column="try_number", min_value=1),
+        Between(column="duration", min_value=0),
+    ]
+    found = evidence(dirty, rules, "adhoc", "dirty", ["dag_id", "execution_date", "state", "try_number", "duration"])
+    shown = F.transform("examples", lambda x: F.from_json(x, "dag_id string, state string, try_number int, duration double"))
+    wrong = {
+        "not_null": lambda x: x["dag_id"].isNull(),
+        "in_set": lambda x: x["state"] != "success",
+        "between": lambda x: (x["try_number"] < 1) | (x["duration"] < 0),
+    }
+    right = F.lit(False)
+    for kind, broke in wrong.items():
+        right |= (F.col("check_type") == kind) & F.forall(shown, broke)
+    listed = F.explode(F.arrays_zip(F.sequence(F.lit(1), F.size("top_values")), "top_values")).alias("top")
+    return found.select(
+        "check_name",
+        "failed",
+        F.size("examples").between(1, 5).alias("some_examples"),
+        right.alias("examples_broke_it"),
+        listed,
+    ).select(
+        "check_name", "failed", "some_examples", "examples_broke_it", "top.top_values.value", "top.top_values.rows"
+    )
+
+
 @query
 def test_not_null(spark, sf_dir):
     return _on_dirty(spark, sf_dir, *not_null("dag_id", "task_id", "execution_date"))
