@@ -779,6 +779,10 @@ FROM ({_RUN_SUITE} UNION ALL {_TASK_SUITE}) GROUP BY suite""",
         _unique("stg_dag_runs", "stg_dag_runs", "dag_id"),
         _unique("stg_dag_runs", "stg_dag_runs", "execution_date"),
     ),
+    "test_unique_incremental": _all(
+        _unique("stg_dag_runs", "stg_dag_runs", "dag_id"),
+        _unique("stg_dag_runs", "stg_dag_runs", "execution_date"),
+    ),
     "test_accepted_values": _all(
         _in_set("sla_misses", "sla_misses", "entity_type", ("dag", "task")),
         _in_set("sla_misses", "sla_misses", "entity_type", ("task",), name="tasks_only"),

@@ -38,11 +38,12 @@ from flowgauge.quality import (
     task_instances_suite,
 )
 from flowgauge.quality.evidence import evidence
+from flowgauge.quality.loads import UniqueOverLoads
 from flowgauge.quality.model_tests import accepted_range, accepted_values, not_null
 from flowgauge.quality.rules import settled
 from flowgauge.quality.suites import RULES_TABLE
 from flowgauge.session import ensure_checkpoint_dir
-from flowgauge.sources import extract_and_merge, extract_dag_runs, extract_task_instances, load_window
+from flowgauge.sources import extract_and_merge, extract_dag_runs, extract_task_instances, load, load_window
 
 #: The moment the checks look from, and the load window of the incremental query.
 AS_OF = datetime(2024, 2, 1)
@@ -700,6 +701,25 @@ def test_unique(spark, sf_dir):
     )
 
 
+@query
+def test_unique_incremental(spark, sf_dir):
+    """``test_unique`` kept up to date over four loads, the first of which is corrected later."""
+    ensure_checkpoint_dir(spark)
+    runs = fixtures.dag_runs(spark, sf_dir)
+    part = F.coalesce(F.dayofyear("execution_date"), F.lit(0)) % 4
+    steps = [{"0": part < 2, "1": part == 1}, {"0": part == 0}, {"2": part == 2, "3": part == 3}]
+    with _database(spark) as database:
+        table = f"{database}.dag_runs"
+        checks = [UniqueOverLoads(table, c, f"{database}.unique_{c}") for c in ("dag_id", "execution_date")]
+        for step in steps:
+            for name, rows in step.items():
+                load(runs.where(rows), table, "refresh", load_date=WINDOW_END.date(), load_id=name)
+            for check in checks:
+                check.update(spark, step)
+        found = [check.result(spark, "adhoc", "stg_dag_runs") for check in checks]
+        return reduce(DataFrame.unionByName, found).checkpoint()
+
+
 @query
 def test_accepted_values(spark, sf_dir):
     mart = QUERIES["sla_misses"](spark, sf_dir)
