@@ -4,9 +4,10 @@ Every source is a queue of its documents in a shuffled order, gone through as of
 as its target needs.  A document's virtual finish time is the number of words of its
 source up to its end, divided by the source's target.  Sorted by that time over all
 sources, the queues advance in proportion to their targets; as the targets themselves
-are the weights, all reach them at time 1, and there the total budget is used up.
-So truncating the sorted stream at the budget keeps what is served before time 1; of
-the document that a source is serving then, only the words served so far are taken.
+are the weights, all reach them at time 1.  A document that its source is serving then is
+two entries of the stream, the words up to the target and those beyond.  The stream is
+sorted by range, the words of the ranges before give each range its offset, and the stream
+ends where its words reach the total budget: what a document has before that is taken.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowgauge.llm.common import col, word_count
+from flowgauge.llm.common import col, cut, word_count
 
 #: Weights of the sources by code point, repeating; null is the last source.
 WEIGHTS = (5, 2, 1)
@@ -61,7 +62,7 @@ def source_targets(
 
 
 def _queues(docs, carried, id, text, source, weights, share, most, seed) -> DataFrame:
-    """Rows (row, size, source_size, target, before): the words before a document in its queue.
+    """Rows (row, source, size, source_size, target, before): the words before a document in its queue.
 
     ``row`` holds the columns to carry along.  The shuffled order is cut into stretches
     by the first digits of its hash.  Sums of whole stretches are few; they give each
@@ -97,15 +98,57 @@ def _queues(docs, carried, id, text, source, weights, share, most, seed) -> Data
     inside = Window.partitionBy("source", "stretch").orderBy("place", "id", "size", "mark")
     running = F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0))
     before = F.col("offset") + running - F.col("size")
-    return ranked.select("row", "size", "source_size", "target", before.alias("before"))
+    return ranked.select("row", "source", "size", "source_size", "target", before.alias("before"))
 
 
 def _taken(turn: int) -> Column:
-    """Words taken of a document when its source is gone through for the ``turn``-th time."""
+    """Words up to its target of a document when its source is gone through for the ``turn``-th time."""
     left = F.floor("target") - F.col("before") - turn * F.col("source_size")
     return F.greatest(F.lit(0), F.least("size", left)).cast("long")
 
 
+def _entries(turns: int) -> Column:
+    """A document's entries in the stream: (at, words), ``at`` being the virtual finish time and whether it is beyond."""
+
+    def entry(turn: int, words: Column, until: Column, beyond: bool) -> Column:
+        finish = F.try_divide(F.col("before") + until + turn * F.col("source_size"), F.col("target"))
+        # Beside time 1 doubles may not tell a word from the next; the second field does.
+        return F.struct(F.struct(finish.alias("finish"), F.lit(beyond).alias("beyond")).alias("at"), words.alias("words"))
+
+    parts = []
+    for turn in range(turns):
+        served = _taken(turn)
+        parts += [entry(turn, served, served, False), entry(turn, F.col("size") - served, F.col("size"), True)]
+    return F.filter(F.array(*parts), lambda e: (e["words"] > 0) & (F.col("target") > 0))
+
+
+def _cut_at(stream: DataFrame, budget: DataFrame) -> DataFrame:
+    """One row (at): the last entry of the sorted stream with which its words are within the budget.
+
+    The stream is sorted by range over all tasks.  One row per range gives the words before it; only the
+    range in which the budget is reached is summed entry by entry.  That range is known by its first and last entry, not
+    by the number of its task, so it holds the same entries whenever it is computed.
+    """
+    ranges = (
+        stream.repartitionByRange("at")
+        .groupBy(F.spark_partition_id().alias("range"))
+        .agg(F.min("at").alias("first"), F.max("at").alias("last"), F.sum("words").alias("words"))
+    )
+    order = Window.orderBy("first").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    until = ranges.select("first", "last", "words", F.sum("words").over(order).alias("until"))
+    over = F.max(F.when(F.col("until") - F.col("words") < budget.scalar(), F.struct("first", "last", "until", "words")))
+    reached = cut(until.agg(over.alias("r")).select("r.*", (F.col("r.until") - F.col("r.words")).alias("offset")))
+    inside = stream.where(
+        (F.col("at") >= reached.select("first").scalar()) & (F.col("at") <= reached.select("last").scalar())
+    )
+    upto = F.sum("words").over(Window.orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    summed = inside.select("at", (upto + reached.select("offset").scalar()).alias("upto"))
+    # Entries that end together are taken together; if none of this range fits, the ranges before it do.
+    fits = F.max(F.when(F.col("upto") <= budget.scalar(), F.col("at")))
+    before = stream.where(F.col("at") < reached.select("first").scalar()).agg(F.max("at").alias("at"))
+    return summed.agg(fits.alias("at")).select(F.coalesce("at", before.scalar()).alias("at"))
+
+
 def mixing_plan(
     docs: DataFrame,
     id: str = "doc_id",
@@ -124,9 +167,15 @@ def mixing_plan(
     nothing.  A null source is a source of its own, the last.  Rows with one id and one
     text share a place in the order; which of them comes first makes no difference.
     """
-    queues = _queues(docs, [col(id).alias("id")], id, text, source, weights, share, most, seed)
-    taken = sum((_taken(turn) for turn in range(1, math.ceil(most))), _taken(0))
-    return queues.select(
+    queues = cut(_queues(docs, [col(id).alias("id")], id, text, source, weights, share, most, seed))
+    # Words are whole, so a source's part of the budget is, too.
+    targets = queues.groupBy("source").agg(F.floor(F.max("target")).alias("words"))
+    budget = targets.agg(F.coalesce(F.sum("words"), F.lit(0)).alias("budget"))
+    entries = _entries(math.ceil(most))
+    end = cut(_cut_at(queues.select(F.inline(entries)), budget))
+    kept = F.filter("entries", lambda e: e["at"] <= F.col("end"))
+    taken = F.coalesce(F.aggregate(kept, F.lit(0).cast("long"), lambda n, e: n + e["words"]), F.lit(0).cast("long"))
+    return queues.select("*", entries.alias("entries"), end.scalar().alias("end")).select(
         F.col("row.id").alias(id),
         "size",
         "source_size",

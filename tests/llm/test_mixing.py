@@ -75,3 +75,20 @@ def test_nothing_to_mix(docs):
 def test_more_than_all_there_is(docs):
     plan = mixing.mixing_plan(docs((1, "a b", None, "x"), (2, "c", None, "y")), share=9.0).collect()
     assert sorted((r.doc_id, r.taken) for r in plan) == [(1, 4), (2, 2)]
+
+
+def test_the_stream_is_sorted_by_range_and_cut_at_the_budget(spark, docs):
+    """The cut that is found over many ranges is that of one sorted list."""
+    rng = random.Random(4)
+    entries = [(rng.randrange(40) / 8.0, rng.random() < 0.2, rng.randrange(1, 9)) for _ in range(300)]
+    stream = spark.createDataFrame([((f, b), w) for f, b, w in entries], "at struct<finish double, beyond boolean>, words long")
+    for budget in (0, 1, 40, 400, 700, 10_000):
+        kept, upto = None, 0
+        for at in sorted({(f, b) for f, b, _ in entries}):
+            upto += sum(w for f, b, w in entries if (f, b) == at)
+            kept = at if upto <= budget else kept
+        found = mixing._cut_at(stream.repartition(5), spark.createDataFrame([(budget,)], "budget long")).collect()
+        assert [tuple(r["at"]) if r["at"] else None for r in found] == [kept]
+    queues = mixing._queues(docs(*[(i, "a b", None, f"s{i % 3}") for i in range(50)]), [], "doc_id", "text", "source", (1,), 1.0, 2, "x")
+    ranged = queues.select(mixing.F.inline(mixing._entries(2))).repartitionByRange("at")
+    assert "rangepartitioning" in ranged._jdf.queryExecution().executedPlan().toString()
