@@ -2,10 +2,12 @@
 
 A window is the shortest sequence of lines that reaches ``min_words`` words, once from
 each line on and once up to each line; every repeated passage of that length contains
-the windows of all its lines.  No minima are selected: every window is joined by the hash of
-its whole content, and the first place of each in the order of documents is its original.  Windows
-from a line on and up to a line reach as far both ways as a match does.
-Later windows join to runs, which are deleted.
+the windows of all its lines.  Each window selects the least hash of its lines, the leftmost if
+several are least, as its fingerprint: equal windows select the same line, so a repeated passage
+has a fingerprint that lies at two places or more.  Only windows around such places go on.  From its
+fingerprint a match reaches both ways to the ends of its window, compared by the hash of the
+whole content, and on through the windows that overlap it; the first place of each in the
+order of documents is its original.  Later windows join to runs, which are deleted.
 """
 
 from __future__ import annotations
@@ -20,7 +22,9 @@ MIN_WORDS = 50
 
 
 def _windows(docs: DataFrame, id: str, text: str, min_words: int) -> DataFrame:
-    """(id, mark, start, end, low, content, words): windows as spans of line numbers.
+    """(id, mark, start, end, low, at, content, words): windows as spans of line numbers.
+
+    ``low`` is the fingerprint, the least hash of the window's lines, and ``at`` its first line with it.
 
     ``mark`` is a hash of the text, so rows with one id and different texts stay apart.
     Rows that agree in both are one here.  Lines without a word are skipped.
@@ -45,7 +49,7 @@ def _windows(docs: DataFrame, id: str, text: str, min_words: int) -> DataFrame:
         return F.struct(
             F.min("line").over(over).alias("start"),
             F.max("line").over(over).alias("end"),
-            F.min("hash").over(over).alias("low"),
+            F.min(F.struct(F.col("hash").alias("low"), F.col("line").alias("at"))).over(over).alias("least"),
             F.xxhash64(F.collect_list("hash").over(over)).alias("content"),
             F.sum("words").over(over).alias("words"),
         )
@@ -53,7 +57,19 @@ def _windows(docs: DataFrame, id: str, text: str, min_words: int) -> DataFrame:
     both = placed.select("id", "mark", spans(onward).alias("onward"), spans(back).alias("back"))
     # A window of one line is the same both ways.
     twice = F.when(F.col("back.start") < F.col("back.end"), F.array("onward", "back")).otherwise(F.array("onward"))
-    return both.select("id", "mark", F.explode(twice).alias("w")).select("id", "mark", "w.*").where(f"words >= {min_words}")
+    windows = both.select("id", "mark", F.explode(twice).alias("w")).where(f"w.words >= {min_words}")
+    return windows.select("id", "mark", "w.start", "w.end", "w.least.low", "w.least.at", "w.content", "w.words")
+
+
+def _around_shared(windows: DataFrame) -> DataFrame:
+    """The windows whose fingerprint lies at more than one place.
+
+    Places of one fingerprint combine to the least and the greatest of their hashes before the shuffle,
+    so neither a frequent line nor the many windows around one place are gathered.
+    """
+    place = F.xxhash64("id", "mark", "at")
+    places = windows.groupBy("low").agg(F.min(place).alias("one"), F.max(place).alias("other"))
+    return windows.join(places.where("one <> other").select("low"), "low", "left_semi")
 
 
 def repeated_runs(docs: DataFrame, id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -62,7 +78,7 @@ def repeated_runs(docs: DataFrame, id: str = "doc_id", text: str = "text", min_w
     Texts are ordered by id, then by a hash of the text.  A passage that comes again in
     one text counts from the second time, if the two do not overlap.
     """
-    windows = cut(_windows(docs, id, text, min_words))
+    windows = _around_shared(cut(_windows(docs, id, text, min_words)))
     key = ["low", "content", "words"]
     originals = (
         windows.groupBy(*key)

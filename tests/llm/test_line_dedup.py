@@ -81,3 +81,19 @@ def test_very_long_texts(docs):
     lines = [f"line number {i} of a text" for i in range(40_000)]
     out = line_dedup.dedup_lines(docs((1, "\n".join(lines)), (2, "\n".join(["x", *lines[:20_000], "y"]))), removed="gone").collect()
     assert {(r.doc_id, r.gone, len(r.text)) for r in out} == {(1, 0, len("\n".join(lines))), (2, 20_000, 3)}
+
+
+def test_only_windows_around_shared_minima_are_compared(docs):
+    """Equal windows select the same line; a window whose minimum lies nowhere else is left out."""
+    shared = [f"shared line {i}" for i in range(8)]
+    rows = [(k, "\n".join([f"own {k} line {i}" for i in range(30)] + shared + [f"more {k} of {i}" for i in range(30)])) for k in range(4)]
+    windows = line_dedup._windows(docs(*rows), "doc_id", "text", 12)
+    of_content = {}
+    for w in windows.collect():
+        of_content.setdefault(w.content, set()).add((w.low, w.at - w.start))
+    assert all(len(selected) == 1 for selected in of_content.values())
+    left = line_dedup._around_shared(windows).collect()
+    assert 4 * 5 <= len(left) < windows.count() / 2
+    assert {w["at"] for w in left} <= set(range(30, 38))
+    inside = {tuple(w) for w in windows.collect() if 30 <= w.start and w.end < 38}
+    assert len(inside) == 4 * 5 and inside <= {tuple(w[c] for c in windows.columns) for w in left}
