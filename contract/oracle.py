@@ -664,6 +664,15 @@ FROM stg_task_instances""",
         _fresh("dirty", "dirty", "2024-03-01", name="stale"),
         _fresh("dirty", "dirty", column="loaded_text"),
     ),
+    "dq_footer": _all(
+        _row_count("dirty", "dirty", 0),
+        _row_count("dirty", "dirty", 10**12, name="too_few"),
+        _null_share("dirty", "dirty", "dag_id"),
+        _null_share("dirty", "dirty", "dag_id", 0.05, name="dag_id_mostly_set"),
+        _fresh("dirty", "dirty"),
+        _fresh("dirty", "dirty", "2024-03-01", name="stale"),
+        _fresh("dirty", "dirty", column="loaded_text"),
+    ),
     "dq_messages": f"SELECT table_name, check_name, message FROM ({_standard()})",
     "dq_run_all": _standard(),
     "dq_summary": f"""

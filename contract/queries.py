@@ -27,6 +27,7 @@ from flowgauge.quality import (
     RowCount,
     Unique,
     dag_runs_suite,
+    run_footer_rules,
     run_model_tests,
     run_rules,
     run_standard_checks,
@@ -556,6 +557,26 @@ def dq_freshness(spark, sf_dir):
     )
 
 
+@query
+def dq_footer(spark, sf_dir):
+    """The rules of ``dq_row_count``, ``dq_freshness`` and NULL shares, on a stored table and from its footers."""
+    ensure_checkpoint_dir(spark)
+    text = F.col("extracted_at").cast("string")
+    rules = [
+        RowCount(min_rows=0),
+        RowCount(min_rows=10**12, name="too_few"),
+        NullShare(column="dag_id"),
+        NullShare(column="dag_id", max_share=0.05, name="dag_id_mostly_set"),
+        FreshWithin(as_of=AS_OF),
+        FreshWithin(as_of=datetime(2024, 3, 1), name="stale"),
+        FreshWithin(as_of=AS_OF, column="loaded_text"),
+    ]
+    with _database(spark) as database:
+        fixtures.dirty_rows(spark, sf_dir).withColumn("loaded_text", text).write.saveAsTable(f"{database}.dirty")
+        path = f"{spark.catalog.getDatabase(database).locationUri}/dirty"
+        return run_footer_rules(spark, path, rules, "adhoc", "dirty").checkpoint()
+
+
 @query
 def dq_messages(spark, sf_dir):
     """The words of the standard battery."""

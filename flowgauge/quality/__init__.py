@@ -1,6 +1,7 @@
 """Data-quality rules, compiled to one aggregate per table."""
 
 from flowgauge.quality.checks import run_standard_checks, standard_checks, summarize
+from flowgauge.quality.footers import run_footer_rules
 from flowgauge.quality.model_tests import MODEL_TESTS, run_model_tests
 from flowgauge.quality.rules import (
     Between,
@@ -38,6 +39,7 @@ __all__ = [
     "Suite",
     "Unique",
     "dag_runs_suite",
+    "run_footer_rules",
     "run_model_tests",
     "run_rules",
     "run_standard_checks",

@@ -22,7 +22,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgauge.quality.rules import Unique, _result
+from flowgauge.quality.rules import Unique, result_row
 from flowgauge.schemas import LOAD_ID
 from flowgauge.session import ensure_checkpoint_dir
 from flowgauge.sources.partitions import is_one_of, replace_partitions
@@ -111,7 +111,7 @@ class UniqueOverLoads:
         # Both sides are one row.
         both = rows.withColumn("one", F.lit(1)).join(repeated.withColumn("one", F.lit(1)), "one")
         fields = rule.verdict(F.col("rows"), F.col("repeated"))
-        return both.select(F.inline(F.array(_result(rule, suite, name, fields))))
+        return both.select(F.inline(F.array(result_row(rule, suite, name, fields))))
 
     def _sketch(self, fresh: DataFrame, sizes: DataFrame) -> DataFrame:
         # Sizes are one row per load.

@@ -294,7 +294,8 @@ class Unique(Rule):
         }
 
 
-def _result(rule: Rule, suite: str, table: str, fields: dict[str, Column]) -> Column:
+def result_row(rule: Rule, suite: str, table: str, fields: dict[str, Column]) -> Column:
+    """A row of ``schemas.CHECK_RESULT`` as a struct."""
     fields = {
         "suite": F.lit(suite),
         "check_name": F.lit(rule.check_name(table)),
@@ -320,7 +321,7 @@ def _failure(text: str) -> dict[str, Column]:
 def failed_result(df: DataFrame, rule: Rule, suite: str, table: str, text: str) -> DataFrame:
     """One failed row for a rule that cannot be evaluated."""
     one = df.sparkSession.range(1)
-    return one.select(F.inline(F.array(_result(rule, suite, table, _failure(text)))))
+    return one.select(F.inline(F.array(result_row(rule, suite, table, _failure(text)))))
 
 
 def run_rules(df: DataFrame, rules: Sequence[Rule], suite: str, table: str) -> DataFrame:
@@ -357,12 +358,12 @@ def run_rule_sets(df: DataFrame, rule_sets: Mapping[str, Sequence[Rule]], table:
         rows: list[Column] = []
         for number, (suite, rule) in enumerate(chosen):
             if rule in misfits:
-                rows.append(_result(rule, suite, table, _failure(misfits[rule])))
+                rows.append(result_row(rule, suite, table, _failure(misfits[rule])))
                 continue
             measured = rule.measures(source)
             names = [f"m{number}_{part}" for part in range(len(measured))]
             figures += [column.alias(name) for column, name in zip(measured, names)]
-            rows.append(_result(rule, suite, table, rule.verdict(*map(F.col, names))))
+            rows.append(result_row(rule, suite, table, rule.verdict(*map(F.col, names))))
         if not figures:
             return df.sparkSession.range(1).select(F.inline(F.array(*rows)))
         return source.agg(*figures).select(F.inline(F.array(*rows)))

@@ -90,5 +90,8 @@ def scan(
 
 
 def write_jdbc(df: DataFrame, target: JdbcSource, mode: str = "append") -> None:
-    """Write to a database table in multi-row batches, one connection per partition."""
+    """Write to a database table, one connection per partition, statements sent in batches.
+
+    Whether a batch becomes one multi-row INSERT is up to the database's driver and its own options.
+    """
     df.write.format("jdbc").options(**target.write_options()).mode(mode).save()
