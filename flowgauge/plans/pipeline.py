@@ -93,11 +93,13 @@ def run_pipeline(
     select: list[str] | None = None,
     thresholds: SlaThresholds = SlaThresholds(),
     dedupe: bool = False,
+    only_changed: bool = False,
 ) -> PipelineResult:
     """Load the day before ``logical_time``, check both tables, build the models, test them.
 
     ``as_of`` is the clock of the whole run, now if not given: rows are stamped with
-    it and judged by it.  ``dedupe`` drops what overlapping windows loaded twice.
+    it and judged by it.  ``dedupe`` drops what overlapping windows loaded twice; with
+    ``only_changed`` models with the same query and files as last time are neither built nor tested.
 
     Failed checks are warned about and the run goes on, unless ``on_failure`` is
     ``'raise'``.  Errors of the run itself always surface.  The check results
@@ -133,6 +135,6 @@ def run_pipeline(
     models: list[str] = []
     tests = None
     if all(df is not None for df in tables.values()):
-        models = build_models(spark, tables, select, database, thresholds, dedupe)
+        models = build_models(spark, tables, select, database, thresholds, dedupe, only_changed)
         tests = run_tests(spark, [*names, *models], database)
     return PipelineResult(counts, *summary, checks, models, tests)
